@@ -4,18 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from studygraph.llm import licenses
+from studygraph.llm import licenses, toxicity
 from studygraph.llm.shared import table
 
 
+def id_remainder(divisor: int) -> Column:
+    """crc32 of doc_id as text, modulo divisor."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def op7_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = toxicity.learn(docs, labels.filter(id_remainder(5) != 0))
+    held_out = F.coalesce(id_remainder(5) == 0, F.lit(False)).alias("held_out")
+    return toxicity.score(docs, machine).select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of all documents by the digest of their canonical form."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_toxicity_machine": op7_toxicity_machine,
     "op8_license_digests": op8_license_digests,
 }
 
