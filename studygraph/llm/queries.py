@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import licenses, toxicity
+from studygraph.llm import licenses, near_copies, toxicity
 from studygraph.llm.shared import table
 
 
@@ -16,6 +16,11 @@ def id_remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document: five terms, similarity 0.8 or more."""
+    return near_copies.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -30,6 +35,7 @@ def op8_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_order_minhash": op4_order_minhash,
     "op7_toxicity_machine": op7_toxicity_machine,
     "op8_license_digests": op8_license_digests,
 }
