@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import licenses, near_copies, toxicity
+from studygraph.llm import licenses, near_copies, substrings, toxicity
 from studygraph.llm.shared import table
 
 
@@ -16,6 +16,12 @@ def id_remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+def op2_anchored_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without runs of 20 words that start earlier."""
+    done = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document: five terms, similarity 0.8 or more."""
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
@@ -35,6 +41,7 @@ def op8_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_anchored_repeats": op2_anchored_repeats,
     "op4_order_minhash": op4_order_minhash,
     "op7_toxicity_machine": op7_toxicity_machine,
     "op8_license_digests": op8_license_digests,
