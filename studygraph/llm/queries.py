@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import licenses, near_copies, substrings, toxicity
+from studygraph.llm import licenses, mixing, near_copies, substrings, toxicity
 from studygraph.llm.shared import table
 
 
@@ -16,6 +16,23 @@ def id_remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+def domain() -> Column:
+    """The domain of a source: five sources by number to each."""
+    number = F.coalesce(F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int"), F.lit(0))
+    return F.element_at(F.array(*map(F.lit, ("web", "books", "code", "news"))), (F.pmod(F.floor(number / 5), F.lit(4)) + 1).cast("int"))
+
+
+#: Target weights of the tree domain, language, source; sources of one language share alike.
+WEIGHTS: dict[tuple[str, ...], float] = {("web",): 0.4, ("books",): 0.3, ("code",): 0.1, ("news",): 0.2} | {(d, lang): w for d in ("web", "books", "code", "news") for lang, w in (("en", 0.6), ("fr", 0.15), ("de", 0.15), ("es", 0.1))}
+
+
+def op1_budget_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that a mixture of as many tokens as there are takes, in at most two epochs of each source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", mixing.tokens_of(F.col("text")).alias("n"))
+    chosen = mixing.mix(docs, [domain(), F.col("lang"), F.col("source")], WEIGHTS, epochs=2, seed=17, tokens=F.col("n"))
+    return chosen.select("doc_id", domain().alias("domain"), "lang", "source", F.col("_epoch").alias("epoch"), F.col("_tokens").alias("tokens"), F.col("_end").alias("tokens_end"))
+
+
 def op2_anchored_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without runs of 20 words that start earlier."""
     done = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=20)
@@ -41,6 +58,7 @@ def op8_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_budget_tree": op1_budget_tree,
     "op2_anchored_repeats": op2_anchored_repeats,
     "op4_order_minhash": op4_order_minhash,
     "op7_toxicity_machine": op7_toxicity_machine,
