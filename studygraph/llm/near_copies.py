@@ -174,7 +174,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 hashes = (arrays.span_hashes(low, starts, ends) >> np.uint64(32)).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([hashes[first[i] : first[i + 1]].tobytes() for i in range(len(part))], pa.binary())], ["id", "terms"])
 
-    wanted = grouped.select("id").distinct()
+    wanted = grouped.select("id").distinct().hint("merge")  # one plan at every size: ids are never broadcast
     termed_rows = tables.put("terms", texts.join(wanted, "id").mapInArrow(termed, "id long, terms binary"))
 
     spread = grouped.select("key", "id", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import licenses, mixing, near_copies, substrings, toxicity
+from studygraph.llm import licenses, mixing, near_copies, packing, substrings, toxicity
 from studygraph.llm.shared import table
 
 
@@ -44,6 +45,11 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op6_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096, with_ids=False)
+
+
 def op7_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budget_tree": op1_budget_tree,
     "op2_anchored_repeats": op2_anchored_repeats,
     "op4_order_minhash": op4_order_minhash,
+    "op6_linear_grouping": op6_linear_grouping,
     "op7_toxicity_machine": op7_toxicity_machine,
     "op8_license_digests": op8_license_digests,
 }
