@@ -71,11 +71,11 @@ def seeded(seed: int, epoch: Column, id_: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), F.coalesce(id_.cast("string"), F.lit(""))))
 
 
-def mix(docs: DataFrame, levels: Sequence[Column], weight: Mapping[Leaf, float], budget: int | None = None, epochs: int = 1, seed: int = 0, id_col: str = "doc_id", tokens: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, levels: Sequence[Column], weight: Mapping[Leaf, float], budget: int | float = 1.0, epochs: int = 1, seed: int = 0, id_col: str = "doc_id", tokens: Column | None = None) -> DataFrame:
     """The rows of docs chosen, with _epoch (from 0), _tokens and _end (tokens of the leaf in this epoch up to this row).
 
-    levels: columns from the top of the tree to the source; null counts as the empty name. budget: tokens in all, by
-    default those of all rows. tokens: a row's tokens, by default the words of column text. Each leaf gives whole rows,
+    levels: columns from the top of the tree to the source; null counts as the empty name. budget: tokens in all; a
+    float is a share of the tokens of all rows. tokens: a row's tokens, by default the words of column text. Each leaf gives whole rows,
     epoch by epoch in that epoch's seeded order, while their tokens stay within the leaf's budget. Rows of one id and as
     many tokens are interchangeable; each counts for itself. An empty table gives no rows. Columns of docs with a name
     made here (_leaf, _tokens, _epoch, _place, _part, _room, _base, _in, _end) are replaced; all others are kept.
@@ -86,7 +86,7 @@ def mix(docs: DataFrame, levels: Sequence[Column], weight: Mapping[Leaf, float],
     count = tokens_of(F.col("text")) if tokens is None else F.coalesce(tokens.cast("long"), F.lit(0))
     rows = docs.withColumns({"_leaf": F.array(*names), "_tokens": count})
     available = {tuple(r["_leaf"]): r["n"] for r in rows.groupBy("_leaf").agg(F.sum("_tokens").alias("n")).collect()}
-    wanted = leaf_budgets(available, sum(available.values()) if budget is None else budget, weight, epochs)
+    wanted = leaf_budgets(available, int(budget * sum(available.values())) if isinstance(budget, float) else budget, weight, epochs)
     turns = [(list(k), e, v - e * available[k]) for k, v in wanted.items() for e in range(epochs) if e == 0 or v - e * available[k] > 0]
     turn = docs.sparkSession.createDataFrame(turns, "_leaf array<string>, _epoch int, _room long")  # a row per leaf and epoch
     kept = [c for c in docs.columns if c not in ("_leaf", "_tokens", "_epoch", "_place", "_part", "_room", "_base", "_in", "_end")]

@@ -10,7 +10,7 @@ has it, and gets back the values that count, so a passage that a third of all do
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -135,9 +135,10 @@ def spaced(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndar
     return pa.Array.from_buffers(pa.large_string(), len(first) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]).cast(pa.string())
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, keep: Sequence[str] = ()) -> DataFrame:
     """Per row of docs: the id, n_words, n_removed, kept_text (its kept words, joined by one space) and repeats: the
-    maximal runs of removed windows as array<struct<start int, length int>> in words of the input.
+    maximal runs of removed windows as array<struct<start int, length int>> in words of the input; and the columns named
+    in keep, unchanged (they must not have one of these names).
 
     Words are [^\\x20\\x09-\\x0D]+. A window starts earlier if it starts in a document with a smaller id or before in the
     same one. Windows are judged on the input, not on what is left, and the first copy of each stays. Null text has no
@@ -148,10 +149,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     block = window // 2
     if block < 1:
         raise ValueError("window must be 2 words at least")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(c).alias(f"kept{i}") for i, c in enumerate(keep)])
+    extra = [f"kept{i}" for i in range(len(keep))]
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = buckets = int(size // GROUP_BYTES) + 1
-    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("q"), F.lit(1).alias("kind"), F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text")
+    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("q"), F.lit(1).alias("kind"), F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text", *extra)
     texts = tables.put("texts", dealt.repartition("q").sortWithinPartitions("q", "id", "text"))
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,9 +189,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def with_answers(answers: DataFrame) -> DataFrame:
         """Each group's answers, before its texts."""
-        left = texts.select("q", "kind", "id", "text", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("value"), F.lit(None).cast("binary").alias("here"))
+        left = texts.select("q", "kind", "id", "text", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("value"), F.lit(None).cast("binary").alias("here"), *extra)
         here = F.col("here") if "here" in answers.columns else F.lit(None).cast("binary")
-        right = answers.select("q", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("text"), "bucket", "value", here.alias("here"))
+        right = answers.select("q", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("text"), "bucket", "value", here.alias("here"), *[F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in extra])
         return left.union(right).repartition("q").sortWithinPartitions("q", "kind", "id", "text")
 
     def split(mine: Iterator[pa.RecordBatch], load: Callable[[list[pa.RecordBatch]], object]) -> Iterator[tuple[object, pa.RecordBatch]]:
@@ -289,9 +291,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             [
                 pa.array([None if x == _NO_ID else x for x in ids], pa.int64()), pa.array(np.diff(first), pa.int64()), pa.array(np.diff(lost), pa.int64()),
                 spaced(raw, starts, ends, first, ~gone), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))),
+                *[part.column(c) for c in extra],
             ],
-            ["id", "n_words", "n_removed", "kept_text", "repeats"],
+            ["id", "n_words", "n_removed", "kept_text", "repeats", *extra],
         )
 
-    done = with_answers(answer).mapInArrow(removed, "id long, n_words long, n_removed long, kept_text string, repeats array<struct<start:int,length:int>>")
-    return done.withColumnRenamed("id", id_col)
+    schema = ", ".join(["id long, n_words long, n_removed long, kept_text string, repeats array<struct<start:int,length:int>>", *[f"{c} {texts.schema[c].dataType.simpleString()}" for c in extra]])
+    return with_answers(answer).mapInArrow(removed, schema).withColumnsRenamed({"id": id_col, **dict(zip(extra, keep, strict=True))})
