@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import licenses, mixing, near_copies, packing, substrings, toxicity
-from studygraph.llm.shared import table
+from studygraph.llm import licenses, mixing, near_copies, packing, substrings, token_store, toxicity
+from studygraph.llm.shared import fresh_path, table
 
 
 def id_remainder(divisor: int) -> Column:
@@ -40,6 +40,12 @@ def op2_anchored_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op3_perfect_hash_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of all documents as they are read back from a token store by key."""
+    store = token_store.write_store(table(spark, sf_dir, "documents"), fresh_path(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return store.read(store.keys()).select(F.col("id").alias("doc_id"), "start", F.col("length").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document: five terms, similarity 0.8 or more."""
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
@@ -66,6 +72,7 @@ def op8_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budget_tree": op1_budget_tree,
     "op2_anchored_repeats": op2_anchored_repeats,
+    "op3_perfect_hash_store": op3_perfect_hash_store,
     "op4_order_minhash": op4_order_minhash,
     "op6_linear_grouping": op6_linear_grouping,
     "op7_toxicity_machine": op7_toxicity_machine,
