@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import licenses, mixing, near_copies, packing, substrings, token_store, toxicity
+from studygraph.llm import flac, licenses, mixing, near_copies, packing, substrings, token_store, toxicity
 from studygraph.llm.shared import fresh_path, table
 
 
@@ -51,6 +51,18 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op5_flac_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The UTF-8 bytes of all texts, padded to a positive multiple of 192, as FLAC streams and read back from them."""
+    raw = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
+    pad = F.when(F.length("_raw") == 0, 192).otherwise(F.pmod(-F.length("_raw"), F.lit(192)))
+    payloads = table(spark, sf_dir, "documents").select("doc_id", raw.alias("_raw")).select("doc_id", F.length("_raw").cast("long").alias("n_bytes"), F.concat("_raw", F.encode(F.repeat(F.lit(" "), pad), "UTF-8")).alias("payload"))
+    played = flac.decode(flac.encode(payloads, "payload"))
+    return played.select(
+        "doc_id", "n_bytes", F.length("pcm").cast("long").alias("payload_bytes"), F.sha2("pcm", 256).alias("payload_sha256"), F.crc32(F.substring("pcm", -16, 16)).alias("tail_crc32"),
+        F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",
+    )
+
+
 def op6_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096, with_ids=False)
@@ -74,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_anchored_repeats": op2_anchored_repeats,
     "op3_perfect_hash_store": op3_perfect_hash_store,
     "op4_order_minhash": op4_order_minhash,
+    "op5_flac_columns": op5_flac_columns,
     "op6_linear_grouping": op6_linear_grouping,
     "op7_toxicity_machine": op7_toxicity_machine,
     "op8_license_digests": op8_license_digests,
