@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import flac, licenses, mixing, near_copies, packing, substrings, token_store, toxicity
+from studygraph.llm import embeddings, flac, licenses, mixing, near_copies, packing, substrings, token_store, toxicity
 from studygraph.llm.shared import fresh_path, table
 
 
@@ -81,6 +81,11 @@ def op8_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op9_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95."""
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), similarity=0.95)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budget_tree": op1_budget_tree,
     "op2_anchored_repeats": op2_anchored_repeats,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_linear_grouping": op6_linear_grouping,
     "op7_toxicity_machine": op7_toxicity_machine,
     "op8_license_digests": op8_license_digests,
+    "op9_projection_forest": op9_projection_forest,
 }
 
 ORACLES: dict[str, str] = {
