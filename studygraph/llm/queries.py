@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import embeddings, flac, licenses, mixing, near_copies, packing, substrings, token_store, toxicity
+from studygraph.llm import embeddings, flac, licenses, mixing, near_copies, packing, quality, substrings, token_store, toxicity
 from studygraph.llm.shared import fresh_path, table
 
 
@@ -86,6 +86,14 @@ def op9_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), similarity=0.95)
 
 
+def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ensemble = quality.learn(docs, labels.filter(id_remainder(3) != 1))
+    held_out = F.coalesce(id_remainder(3) == 1, F.lit(False)).alias("held_out")
+    return quality.score(docs, ensemble).select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budget_tree": op1_budget_tree,
     "op2_anchored_repeats": op2_anchored_repeats,
@@ -96,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity_machine": op7_toxicity_machine,
     "op8_license_digests": op8_license_digests,
     "op9_projection_forest": op9_projection_forest,
+    "op10_rule_ensemble": op10_rule_ensemble,
 }
 
 ORACLES: dict[str, str] = {
