@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from studygraph.plans import pages
+from studygraph.plans import labels, pages
 from studygraph.registry import ORACLES, QUERIES, Query
 
-__all__ = ["oracle_sql", "pages", "queries"]
+__all__ = ["labels", "oracle_sql", "pages", "queries"]
 
 
 def queries() -> dict[str, Query]:
