@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from studygraph.plans import entities, labels, pages, schedules
+from studygraph.plans import entities, extractors, labels, pages, schedules
 from studygraph.registry import ORACLES, QUERIES, Query
 
-__all__ = ["entities", "labels", "oracle_sql", "pages", "queries", "schedules"]
+__all__ = ["entities", "extractors", "labels", "oracle_sql", "pages", "queries", "schedules"]
 
 
 def queries() -> dict[str, Query]:
