@@ -57,26 +57,18 @@ def logits(row: np.ndarray, slot: np.ndarray, n: int, bias: float, linear: np.nd
     return bias + sums(row, linear[slot], n) + 0.5 * ((total**2).sum(1) - square), total
 
 
-def fit(rows: list[tuple[str | None, int]], bits: int = 20, max_terms: int = 4096, rank: int = 4, least: int = 8, steps: int = 300, ridge: float = 2e-3, seed: int = 7) -> Machine:
-    """Learns from (text, label) rows. Kept are the at most max_terms buckets in at least `least` texts with the largest
-    z-score of their log-odds, beyond 4; then bias, linear weights and factors are learned together by full-batch Adam on
-    the mean log loss with a ridge. Without rows, or with one class only, the score is the smoothed share of label 1."""
+def fit(rows: list[tuple[np.ndarray, int]], bits: int = 20, max_terms: int = 4096, rank: int = 4, least: int = 8, steps: int = 300, ridge: float = 2e-3, seed: int = 7) -> Machine:
+    """Learns from (distinct buckets, label) rows. Kept are the at most max_terms buckets in at least `least` texts with
+    the largest z-score of their log-odds, beyond 4; then bias, linear weights and factors are learned together by
+    full-batch Adam on the mean log loss with a ridge. Without rows, or with one class only, the score is the smoothed
+    share of label 1."""
     labels = np.array([int(y) for _, y in rows], np.float64)
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     slot = np.full(1 << bits, -1, np.int32)
     empty = Machine(bits, slot, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, rank)))
     if not rows:
         return empty
-    parts, at = [], 0
-    while at < len(rows):  # bounded slices of the bounded sample
-        stop, held = at, 0
-        while stop < len(rows) and (stop == at or held + len(rows[stop][0] or "") <= arrays.SLICE_BYTES):
-            held += len(rows[stop][0] or "")
-            stop += 1
-        r, b = distinct(*buckets(pa.array([t for t, _ in rows[at:stop]], pa.string()), bits), 1 << bits)
-        parts.append((r + at, b))
-        at = stop
-    row, bucket = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    row, bucket = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows]), np.concatenate([b for b, _ in rows]).astype(np.int64)
     n1, n0 = labels.sum(), len(labels) - labels.sum()
     with1 = np.bincount(bucket, labels[row], 1 << bits)
     with0 = np.bincount(bucket, 1 - labels[row], 1 << bits)
@@ -110,23 +102,36 @@ def fit(rows: list[tuple[str | None, int]], bits: int = 20, max_terms: int = 409
     return Machine(bits, slot, float(params[0][0]), params[1], params[2])
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_fit_rows: int = 8_000, max_fit_chars: int = 60_000_000, **how) -> Machine:
-    """fit() on at most max_fit_rows labelled rows, those whose id has the smallest hash, read in that order until
-    max_fit_chars characters of whole texts are held. Labels other than 0 and 1, and rows without a label, are left out.
-    The sample's bound is what makes it fit the driver: its ids are broadcast, its texts collected."""
-    chosen = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y"), F.xxhash64(F.col(id_col).cast("string")).alias("_h")).orderBy("_h", "_id", "_y").limit(max_fit_rows)
+def distinct_buckets(column: pa.Array, bits: int) -> list[np.ndarray]:
+    """The distinct buckets of each text's terms, ascending."""
+    row, bucket = distinct(*buckets(column, bits), 1 << bits)
+    return np.split(bucket.astype(np.int32), np.searchsorted(row, np.arange(1, len(column))))
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_fit_rows: int = 8_000, max_fit_terms: int = 16_000_000, bits: int = 20, **how) -> Machine:
+    """fit() on at most max_fit_rows labelled ids, those with the smallest hashes, read in that order until max_fit_terms
+    distinct terms of whole texts are held. Labels other than 0 and 1, and rows without a label, are left out. Texts are
+    hashed in tasks; the driver reads the sample's buckets one partition after the other, within these bounds."""
+    chosen = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"), F.xxhash64(F.col(id_col).cast("string")).alias("_h")).orderBy("_h", "_id", "_y").limit(max_fit_rows)
     ids = chosen.collect()
     if not ids:
-        return fit([], **how)
+        return fit([], bits, **how)
     small = docs.sparkSession.createDataFrame([(r["_id"], r["_y"], r["_h"]) for r in ids], chosen.schema)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in arrays.slices(batch, "_text"):
+                made = [b.tobytes() for b in distinct_buckets(part.column("_text"), bits)]
+                yield pa.RecordBatch.from_arrays([part.column("_h"), part.column("_y"), pa.array(made, pa.binary())], ["_h", "_y", "_b"])
+
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(small), "_id").select("_h", "_y", "_text")
     rows, held = [], 0
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(small), "_id").select("_h", "_id", "_y", "_text")
-    for r in texts.orderBy("_h", "_id", "_y", "_text").limit(2 * max_fit_rows).toLocalIterator():
-        held += len(r["_text"] or "")
-        if rows and held > max_fit_chars:
+    for r in texts.mapInArrow(hashed, "_h long, _y int, _b binary").orderBy("_h", "_y", "_b").toLocalIterator():
+        held += len(r["_b"]) // 4
+        if rows and held > max_fit_terms:
             break
-        rows.append((r["_text"], r["_y"]))
-    return fit(rows, **how)
+        rows.append((np.frombuffer(bytes(r["_b"]), np.int32), r["_y"]))
+    return fit(rows, bits, **how)
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:

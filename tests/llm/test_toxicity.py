@@ -46,7 +46,7 @@ def test_a_pair_counts_beyond_its_terms():
     for _ in range(3000):
         a, b = rng.random() < 0.5, rng.random() < 0.5
         rows.append((" ".join(["x"] + ["insult"] * a + ["group"] * b + [f"w{rng.integers(50)}"]), int(a and b)))
-    m = toxicity.fit(rows, bits=16, steps=600)
+    m = toxicity.fit([(b, y) for b, (_, y) in zip(toxicity.distinct_buckets(pa.array([t for t, _ in rows]), 16), rows, strict=True)], bits=16, steps=600)
     row, bucket = toxicity.buckets(pa.array(["x insult", "x group", "x insult group", "x"]), 16)
     at = m.slot[bucket]
     z, _ = toxicity.logits(row[at >= 0], at[at >= 0].astype(int), 4, m.bias, m.linear, m.factors)
