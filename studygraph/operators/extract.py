@@ -97,7 +97,7 @@ def rule_hits(df: DataFrame, text: str, rules: Sequence[Rule]) -> DataFrame:
     ])
     kept = F.filter(hits, lambda h: F.size(h["found"]) > 0)
     rest = [c for c in df.columns if c != text]
-    return df.select(*rest, F.explode(kept).alias("_h")).select(*rest, "_h.rule_no", "_h.kind", "_h.confidence", F.size("_h.found").alias("n"), F.element_at("_h.found", 1).alias("first"))
+    return df.select(*rest, F.explode(kept).alias("_h")).select(*rest, "_h.rule_no", "_h.kind", "_h.confidence", F.size("_h.found").cast("long").alias("n"), F.element_at("_h.found", 1).alias("first"))
 
 
 def first_per_kind(df: DataFrame, text: str, id_: Sequence[str], rules: Sequence[Rule]) -> DataFrame:

@@ -98,7 +98,7 @@ def design_extract(spark, sf_dir):
     rows = labels(spark, sf_dir, SENTENCES).withColumn("r", extract.randomization(F.col("label")))
     return rows.select(
         "k", "pos", "r.ratio", "r.block_size", extract.time_window(F.col("label")).alias("window_iso"), F.array_join(extract.sampling_minutes(F.col("label")), ",").alias("minutes"),
-        F.size(extract.titration(F.col("label"))).alias("levels"), extract.is_crossover(F.col("label")).alias("crossover"),
+        F.size(extract.titration(F.col("label"))).cast("long").alias("levels"), extract.is_crossover(F.col("label")).alias("crossover"),
     )
 
 
@@ -148,6 +148,6 @@ def order_overlay(spark, sf_dir):
 
     listed = spark.createDataFrame([(7, 1), (3, 2), (19, 3)], "n_nationkey int, pos int")
     n = table(spark, sf_dir, "nation").select("n_nationkey").join(F.broadcast(listed), "n_nationkey", "left")
-    return n.select("n_nationkey", F.row_number().over(Window.orderBy(F.col("pos").asc_nulls_last(), "n_nationkey")).alias("place"))  # the rows of one table on a screen
+    return n.select("n_nationkey", F.row_number().over(Window.orderBy(F.col("pos").asc_nulls_last(), "n_nationkey")).cast("long").alias("place"))  # the rows of one table on a screen
 
 
