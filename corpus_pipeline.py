@@ -15,6 +15,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores at 0.5 or more go."""
+    docs = docs.select(COLUMNS)
     machine = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, machine, keep=True).filter("_score < 0.5").select(COLUMNS)
 

@@ -210,3 +210,14 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     unlike = rows.filter(~usable(F.col("v"))).select("id", F.lit(0).cast("long").alias("n_links"))
     out = of_key.union(unlike).join(classes, F.col("id") == F.col("node"), "left").withColumn("c", F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), "n_links", F.col("c").alias("component_id"), (F.col("c") == F.col("id")).alias("kept"))
+
+
+def near_sql(similarity: float = 0.95) -> str:
+    """near_vectors() of embeddings in DuckDB SQL, by all pairs; for tables of a few hundred rows."""
+    return f"""
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= {similarity}),
+r(a, b) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS c FROM r GROUP BY a), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.c AS component_id, c.c = e.vec_id AS kept FROM e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""

@@ -108,5 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_anchored_repeats": substrings.repeats_sql(),
     "op8_license_digests": licenses.scan_sql(),
+    "op9_projection_forest": embeddings.near_sql(),
 }

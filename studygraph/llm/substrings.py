@@ -298,3 +298,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     schema = ", ".join(["id long, n_words long, n_removed long, kept_text string, repeats array<struct<start:int,length:int>>", *[f"{c} {texts.schema[c].dataType.simpleString()}" for c in extra]])
     return with_answers(answer).mapInArrow(removed, schema).withColumnsRenamed({"id": id_col, **dict(zip(extra, keep, strict=True))})
+
+
+def repeats_sql(window: int = 20) -> str:
+    """remove_repeats() of documents in DuckDB SQL, by comparing all windows."""
+    return f"""
+WITH w AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents)),
+s AS (SELECT doc_id, pos, word, count(*) OVER r AS n, string_agg(word, ' ') OVER r AS run FROM w WINDOW r AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING)),
+t AS (SELECT doc_id, pos, word, n = {window} AND row_number() OVER (PARTITION BY n = {window}, run ORDER BY doc_id, pos) > 1 AS again FROM s),
+g AS (SELECT doc_id, pos, word, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS gone FROM t)
+SELECT d.doc_id, count(g.pos) AS n_words, count(g.pos) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id GROUP BY d.doc_id
+"""

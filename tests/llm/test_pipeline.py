@@ -71,3 +71,17 @@ def test_empty(spark):
         docs = stage(spark, docs, data)
         assert docs.count() == 0
         docs = spark.createDataFrame([], docs.schema)
+
+
+def test_odd_rows(spark):
+    """Nulls in every column, empty and very long texts, repeated rows and columns with clashing names."""
+    data = "/root/testdata/sf0.001"
+    rows = [(1, None, None, None, None), (1, None, None, None, None), (2, "", "en", "src1", 0), (3, "word " * 100_000, "en", "src2", 500_000), (None, "no id here", "de", None, 10), (4, "same text twice", None, "src3", 15), (5, "same text twice", "fr", "src3", 15), (5, "same text twice", "fr", "src3", 15)]
+    docs = spark.createDataFrame([(*r, 0.5, "x", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, _score double, id string, _tokens int")
+    kept = []
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, data).collect()
+        kept.append(sorted({str(r["doc_id"]) for r in out}))
+        docs = spark.createDataFrame([(*[r[c] for c in corpus_pipeline.COLUMNS], 0.5, "x", 1) for r in out] if "text" in out[0] else [], docs.schema)
+    assert kept[0] == ["1", "2", "3", "4", "5", "None"] and kept[1] == kept[2] == ["1", "2", "3", "4", "None"]
+    assert set(kept[3]) <= set(kept[2]) and kept[4] == kept[3]
