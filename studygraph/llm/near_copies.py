@@ -119,7 +119,7 @@ def links_of(ids: np.ndarray, side: np.ndarray, texts: list[np.ndarray], similar
     return out
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, keys: int = 14, kept: int = 3, block: int = 512) -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, keys: int = 14, kept: int = 3, block: int = 512, block_terms: int = 1_000_000) -> DataFrame:
     """Per row of docs: the id, class_id (the smallest id of its class) and kept (id = class_id). Ids are integers.
 
     Texts with the same terms are copies (similarity 1). Texts without a term are copies of equal texts only; a null text
@@ -127,7 +127,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and kept null. An empty table gives no rows; other columns are not looked at.
 
     A pair of similarity s shares one key with a chance of about s**kept, so of 14 keys of 3 at least one with a chance
-    of 0.9999 at 0.8 or more; any pair that shares a key is compared by its whole texts."""
+    of 0.9999 at 0.8 or more; any pair that shares a key is compared by its whole texts. Blocks hold about `block`
+    documents and block_terms terms, or one document that is longer."""
     tables = Written(docs.sparkSession)
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,6 +138,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 low, starts, ends, first = arrays.terms(raw, offsets)
                 hashes = arrays.span_hashes(low, starts, ends)
                 whole = arrays.span_hashes(raw, offsets[:-1], offsets[1:])
+                many = np.diff(first)
                 content, made = np.empty((len(part), 2), np.uint64), []
                 for i in range(len(part)):
                     mine = hashes[first[i] : first[i + 1]]
@@ -148,20 +150,20 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         content[i] = whole[i], len(raw[offsets[i] : offsets[i + 1]])
                         made.append(np.zeros(0, np.int64))
                 two = content.view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(made, pa.list_(pa.int64()))], ["id", "h1", "h2", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(made, pa.list_(pa.int64())), pa.array(many.astype(np.int64))], ["id", "h1", "h2", "keys", "terms"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = rows.filter("id IS NOT NULL AND text IS NOT NULL")
-    sketches = tables.put("sketches", texts.mapInArrow(sketched, "id long, h1 long, h2 long, keys array<long>"))
-    reps = sketches.groupBy("h1", "h2").agg(F.min_by("keys", "id").alias("keys"), F.min("id").alias("id"))
+    sketches = tables.put("sketches", texts.mapInArrow(sketched, "id long, h1 long, h2 long, keys array<long>, terms long"))
+    reps = sketches.groupBy("h1", "h2").agg(F.min_by("keys", "id").alias("keys"), F.min("id").alias("id"), F.min("terms").alias("terms"))
     copies = sketches.join(reps.select("h1", "h2", F.col("id").alias("rep")), ["h1", "h2"]).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
-    member = tables.put("members", reps.select("id", F.explode(F.array_distinct("keys")).alias("key")))
+    member = tables.put("members", reps.select("id", "terms", F.explode(F.array_distinct("keys")).alias("key")))
     # keys with the same members are one group
     groups = (
-        member.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s1"), F.min("id").alias("s2"))
-        .filter("n > 1").groupBy("n", "s1", "s2").agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+        member.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s1"), F.min("id").alias("s2"), F.sum("terms").alias("terms"))
+        .filter("n > 1").groupBy("n", "s1", "s2", "terms").agg(F.min("key").alias("key"))
+        .select("key", F.ceil(F.greatest(F.col("n") / block, F.col("terms") / block_terms)).cast("int").alias("blocks"))
     )
     grouped = tables.put("grouped", member.join(groups, "key").select("key", "id", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("b")))
     tables.drop("members")

@@ -89,8 +89,8 @@ def test_one_large_group(spark):
             t[rng.randrange(len(t))] = f"z{rng.randrange(10**6)}"
         rows.append((i, " ".join(t)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for block in (512, 64):
-        got = {r["doc_id"]: r["class_id"] for r in near_copies.near_copies(docs, block=block).collect()}
+    for block, terms in ((512, 1_000_000), (64, 1_000_000), (512, 5_000)):
+        got = {r["doc_id"]: r["class_id"] for r in near_copies.near_copies(docs, block=block, block_terms=terms).collect()}
         want = brute(rows)
         assert sum(got[i] != want[i] for i in got) <= 2 and all(want[got[i]] == want[i] for i in got)
 
