@@ -15,12 +15,12 @@ def contribute(df: DataFrame, source: str, priority: int, order: str) -> DataFra
 
 def merged(column: str, policy: str) -> Column:
     """The aggregate that merges a column of a cluster. first: the non-null value of the highest priority, ties by
-    position, then value; seen: the first seen; any, all: booleans; union: sorted distinct values of an array; set: of a scalar."""
+    position, then value; seen: the first by position, then priority number; any, all: booleans; union: sorted distinct values of an array; set: of a scalar."""
     if policy == "first":
         best = F.struct((-F.col("priority")).alias("p"), F.col("source").alias("s"), F.col("pos").alias("o"), F.col(column).alias("v"))
         return F.min_by(column, F.when(F.col(column).isNotNull(), best))
     if policy == "seen":
-        return F.min_by(column, F.struct("pos", "source"))
+        return F.min_by(column, F.struct("pos", "priority", "source"))
     if policy in ("any", "all"):
         return F.bool_or(column) if policy == "any" else F.bool_and(column)
     if policy == "union":
