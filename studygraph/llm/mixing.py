@@ -96,3 +96,36 @@ def mix(docs: DataFrame, levels: Sequence[Column], weight: Mapping[Leaf, float],
     within = Window.partitionBy("_leaf", "_epoch", "_part").orderBy("_place", "_tokens").rowsBetween(Window.unboundedPreceding, 0)
     ended = put.withColumn("_in", F.sum("_tokens").over(within)).join(bases, ["_leaf", "_epoch", "_part"])
     return ended.withColumn("_end", F.col("_base") + F.col("_in")).filter("_end <= _room").select(*kept, "_epoch", "_tokens", "_end")
+
+
+def shares_sql(name: str, parents: str, nodes: str) -> str:
+    """shares() in DuckDB SQL as a common table expression: nodes (parent, node, w, c) get b of their parents' (node, b).
+    A share is the smaller of the cap and of lambda times the weight; lambda is where caps, in the order of cap by weight,
+    stop being reached."""
+    return f"""
+{name}_o AS (SELECT n.parent, n.node, n.w, n.c, p.b,
+    sum(c) OVER (PARTITION BY n.parent ORDER BY c / w, n.node ROWS UNBOUNDED PRECEDING)::DOUBLE - c AS ahead, sum(w) OVER (PARTITION BY n.parent ORDER BY c / w DESC, n.node DESC ROWS UNBOUNDED PRECEDING) AS behind
+  FROM {nodes} n JOIN {parents} p ON p.node = n.parent),
+{name}_l AS (SELECT parent, arg_min((b - ahead) / behind, (c / w, node)) FILTER (b - ahead < c / w * behind) AS l FROM {name}_o GROUP BY parent),
+{name}_g AS (SELECT parent, node, b, c, coalesce(least(c, l * w), c)::DOUBLE AS g FROM {name}_o JOIN {name}_l USING (parent)),
+{name}_f AS (SELECT *, least(c, floor(g + 1e-9))::BIGINT AS f FROM {name}_g),
+{name}_r AS (SELECT *, row_number() OVER (PARTITION BY parent, f < c ORDER BY f - g, node) AS place, least(b, sum(c) OVER (PARTITION BY parent)) - sum(f) OVER (PARTITION BY parent) AS spare FROM {name}_f),
+{name} AS (SELECT node, (f + CASE WHEN f < c AND place <= spare THEN 1 ELSE 0 END)::BIGINT AS b FROM {name}_r)"""
+
+
+def mix_sql(domain: str, weight: Mapping[Leaf, float], epochs: int, seed: int) -> str:
+    """mix() of all tokens of documents down domain, lang and source in DuckDB SQL."""
+    given = " ".join(f"WHEN '/{'/'.join(k)}' THEN {float(v)}" for k, v in weight.items())
+    def level(path: str, parent: str) -> str:
+        return f"(SELECT {parent} AS parent, {path} AS node, CASE {path} {given} ELSE 1.0 END AS w, ({epochs} * sum(n))::DOUBLE AS c FROM leaf GROUP BY ALL)"
+
+    return f"""
+WITH d AS (SELECT doc_id, {domain} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source, lang AS lang_, source AS source_,
+    len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS n FROM documents),
+leaf AS (SELECT '/' || domain AS a, '/' || domain || '/' || lang AS b, '/' || domain || '/' || lang || '/' || source AS p, sum(n)::BIGINT AS n FROM d GROUP BY ALL),
+root AS (SELECT '' AS node, sum(n)::DOUBLE AS b FROM leaf),{shares_sql("one", "root", level("a", "''"))},{shares_sql("two", "one", level("b", "a"))},{shares_sql("three", "two", level("p", "b"))},
+turn AS (SELECT three.node AS p, e, three.b - e * leaf.n AS room FROM three JOIN leaf ON leaf.p = three.node CROSS JOIN range({epochs}) AS r(e) WHERE e = 0 OR three.b - e * leaf.n > 0),
+t AS (SELECT doc_id, domain, lang_, source_, e, n, room, sum(n) OVER (PARTITION BY p, e ORDER BY md5('{seed}|' || e || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), n ROWS UNBOUNDED PRECEDING)::BIGINT AS tokens_end
+  FROM d JOIN turn ON p = '/' || domain || '/' || lang || '/' || source)
+SELECT doc_id, domain, lang_ AS lang, source_ AS source, e::INTEGER AS epoch, n AS tokens, tokens_end FROM t WHERE tokens_end <= room
+"""

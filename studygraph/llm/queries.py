@@ -107,7 +107,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_rule_ensemble": op10_rule_ensemble,
 }
 
+DOMAIN_SQL = "['web', 'books', 'code', 'news'][(coalesce(TRY_CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INTEGER), 0) // 5) % 4 + 1]"
+
 ORACLES: dict[str, str] = {
+    "op1_budget_tree": mixing.mix_sql(DOMAIN_SQL, WEIGHTS, epochs=2, seed=17),
     "op2_anchored_repeats": substrings.repeats_sql(),
     "op8_license_digests": licenses.scan_sql(),
     "op9_projection_forest": embeddings.near_sql(),

@@ -83,13 +83,13 @@ def test_one_large_group(spark):
     rng = random.Random(3)
     base = [f"w{rng.randrange(500)}" for _ in range(120)]
     rows = []
-    for i in range(400):
+    for i in range(160):
         t = list(base)
         for _ in range(rng.randrange(5)):
             t[rng.randrange(len(t))] = f"z{rng.randrange(10**6)}"
         rows.append((i, " ".join(t)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for block, terms in ((512, 1_000_000), (64, 1_000_000), (512, 5_000)):
+    for block, terms in ((512, 1_000_000), (40, 1_000_000), (512, 5_000)):
         got = {r["doc_id"]: r["class_id"] for r in near_copies.near_copies(docs, block=block, block_terms=terms).collect()}
         want = brute(rows)
         assert sum(got[i] != want[i] for i in got) <= 2 and all(want[got[i]] == want[i] for i in got)
