@@ -57,11 +57,23 @@ def logits(row: np.ndarray, slot: np.ndarray, n: int, bias: float, linear: np.nd
     return bias + sums(row, linear[slot], n) + 0.5 * ((total**2).sum(1) - square), total
 
 
-def fit(rows: list[tuple[np.ndarray, int]], bits: int = 20, max_terms: int = 4096, rank: int = 4, least: int = 8, steps: int = 300, ridge: float = 2e-3, seed: int = 7) -> Machine:
-    """Learns from (distinct buckets, label) rows. Kept are the at most max_terms buckets in at least `least` texts with
-    the largest z-score of their log-odds, beyond 4; then bias, linear weights and factors are learned together by
+def log_likelihood_ratio(with1: np.ndarray, with0: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Of terms in with1 of n1 texts with label 1 and with0 of n0 others: twice the log-likelihood ratio of their having to
+    do with the label."""
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12)), 0)
+
+    held, n = with1 + with0, max(1.0, n1 + n0)
+    return 2 * (part(with1, held * n1 / n) + part(with0, held * n0 / n) + part(n1 - with1, (n - held) * n1 / n) + part(n0 - with0, (n - held) * n0 / n))
+
+
+def fit(rows: list[tuple[np.ndarray, int]], bits: int = 20, max_terms: int = 4096, rank: int = 4, least: int = 6, steps: int = 300, ridge: float = 2e-3, seed: int = 7) -> Machine:
+    """Learns from (distinct buckets, label) rows. Rows that are copies of one another count once. Kept are
+    the at most max_terms buckets in at least `least` texts that tell most of the label, by a log-likelihood ratio beyond
+    25; then bias, linear weights and factors are learned together by
     full-batch Adam on the mean log loss with a ridge. Without rows, or with one class only, the score is the smoothed
     share of label 1."""
+    rows = [(b, y) for (_, y), b in {(b.tobytes(), y): b for b, y in rows}.items()]
     labels = np.array([int(y) for _, y in rows], np.float64)
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     slot = np.full(1 << bits, -1, np.int32)
@@ -72,11 +84,9 @@ def fit(rows: list[tuple[np.ndarray, int]], bits: int = 20, max_terms: int = 409
     n1, n0 = labels.sum(), len(labels) - labels.sum()
     with1 = np.bincount(bucket, labels[row], 1 << bits)
     with0 = np.bincount(bucket, 1 - labels[row], 1 << bits)
-    odds = np.log((with1 + 0.5) / (n1 - with1 + 0.5)) - np.log((with0 + 0.5) / (n0 - with0 + 0.5))
-    error = np.sqrt(1 / (with1 + 0.5) + 1 / (with0 + 0.5))
-    z = np.where(with1 + with0 >= least, np.abs(odds) / error, 0)
-    kept = np.flatnonzero(z > 4)
-    kept = np.sort(kept[np.argsort(-z[kept], kind="stable")[:max_terms]])
+    told = log_likelihood_ratio(with1, with0, n1, n0)
+    kept = np.flatnonzero((with1 + with0 >= least) & (told > 25))
+    kept = np.sort(kept[np.argsort(-told[kept], kind="stable")[:max_terms]])
     if not len(kept) or not n1 or not n0:
         return empty
     slot[kept] = np.arange(len(kept))
@@ -108,7 +118,7 @@ def distinct_buckets(column: pa.Array, bits: int) -> list[np.ndarray]:
     return np.split(bucket.astype(np.int32), np.searchsorted(row, np.arange(1, len(column))))
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_fit_rows: int = 8_000, max_fit_terms: int = 16_000_000, bits: int = 20, **how) -> Machine:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_fit_rows: int = 16_000, max_fit_terms: int = 16_000_000, bits: int = 20, **how) -> Machine:
     """fit() on at most max_fit_rows labelled ids, those with the smallest hashes, read in that order until max_fit_terms
     distinct terms of whole texts are held. Labels other than 0 and 1, and rows without a label, are left out. Texts are
     hashed in tasks; the driver reads the sample's buckets one partition after the other, within these bounds."""

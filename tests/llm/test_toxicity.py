@@ -24,11 +24,11 @@ def test_held_out(spark):
     assert got.count() == table(spark, data, "documents").count()
     rows = got.join(table(spark, data, "labels"), "doc_id").join(table(spark, data, "documents").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
     assert ((rows.score >= 0) & (rows.score <= 1)).all() and ((rows.score >= 0.5) == (rows.predicted == 1)).all()
-    en = rows[rows.lang == "en"]  # the other languages' labels do not follow from their texts
-    said = en.predicted == 1
-    print(auc(en.score.to_numpy(), en.toxic.to_numpy()), said.sum(), (en.toxic == 1).sum(), (said & (en.toxic == 1)).sum())
-    assert (said & (en.toxic == 1)).sum() >= 0.85 * (en.toxic == 1).sum()
-    assert (said & (en.toxic == 0)).sum() <= 0.02 * (en.toxic == 0).sum()
+    said, toxic = rows.predicted == 1, rows.toxic == 1
+    print(auc(rows.score.to_numpy(), rows.toxic.to_numpy()), {k: (int((said & toxic)[v].sum()), int(toxic[v].sum()), int((said & ~toxic)[v].sum()), len(v)) for k, v in rows.groupby("lang").groups.items()})
+    assert auc(rows.score.to_numpy(), rows.toxic.to_numpy()) > 0.9
+    assert (said & toxic).sum() >= 0.75 * toxic.sum()
+    assert (said & ~toxic).sum() <= 0.01 * (~toxic).sum()
 
 
 def test_logits_are_those_of_all_pairs():
