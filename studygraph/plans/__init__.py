@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from studygraph.plans import checks, clinical, entities, extractors, labels, merges, pages, schedules
+from studygraph.plans import checks, clinical, compare, entities, extractors, labels, merges, pages, schedules
 from studygraph.registry import ORACLES, QUERIES, Query
 
-__all__ = ["checks", "clinical", "entities", "extractors", "labels", "merges", "oracle_sql", "pages", "queries", "schedules"]
+__all__ = ["checks", "clinical", "compare", "entities", "extractors", "labels", "merges", "oracle_sql", "pages", "queries", "schedules"]
 
 
 def queries() -> dict[str, Query]:
