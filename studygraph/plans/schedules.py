@@ -135,7 +135,21 @@ UNION ALL SELECT DISTINCT user_id, b, 'dead_end' FROM t WHERE NOT EXISTS (SELECT
 """)
 def state_reachability(spark, sf_dir):
     """Faults of each user's machine of event types, of which every fifth event is a transition."""
-    chain = schedule.chained(table(spark, sf_dir, "events").filter("event_id % 5 = 0").select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"], "event_type")
+    return reached(table(spark, sf_dir, "events").filter("event_id % 5 = 0"))
+
+
+@query("state_reachability_all", """
+WITH e AS (SELECT user_id, event_type AS a, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events), t AS (SELECT DISTINCT user_id, a, b FROM e WHERE b IS NOT NULL AND a <> b)
+SELECT DISTINCT user_id, a AS state, 'unreachable' AS fault FROM t WHERE a <> 'view' AND NOT EXISTS (SELECT 1 FROM t x WHERE x.user_id = t.user_id AND x.b = t.a)
+UNION ALL SELECT DISTINCT user_id, b, 'dead_end' FROM t WHERE NOT EXISTS (SELECT 1 FROM t x WHERE x.user_id = t.user_id AND x.a = t.b)
+""")
+def state_reachability_all(spark, sf_dir):
+    """Faults of each user's machine of event types, of which every event is a transition."""
+    return reached(table(spark, sf_dir, "events"))
+
+
+def reached(events):
+    chain = schedule.chained(events.select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"], "event_type")
     t = chain.select("user_id", F.col("event_type").alias("from_state"), F.col("next_id").alias("to_state")).filter("to_state IS NOT NULL AND from_state <> to_state")
     return schedule.machine_faults(t, "user_id", "view")
 
