@@ -65,6 +65,33 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(F.lit(0.0))
 
 
+def near_sets(df: DataFrame, id_: str, words: str, percent: int) -> DataFrame:
+    """(a, b, similarity) of arrays of distinct words whose Jaccard similarity is above percent / 100. Equal sets meet once:
+    a is their smallest id, and each other one is b with similarity 1; different sets are compared by their smallest ids.
+
+    Sets so similar share a word among the first n - floor(n * percent / 100) of each in any one order of all words, here
+    from the rarest, so candidates are joined on these words and none is lost. A word goes by its hash there: words with
+    one hash count as one, which adds candidates only. A pair is kept for a common word unless the words after it are too
+    few. ids are unique; null is no set."""
+    df = df.filter(F.col(words).isNotNull()).select(F.col(id_).alias("_id"), F.col(words).alias("_w"))
+    keys = df.select("_id", F.sha2(F.encode(F.array_join(F.array_sort("_w"), "\n"), "UTF-8"), 256).alias("_d"))
+    reps = keys.groupBy("_d").agg(F.min("_id").alias("_rep"))
+    copies = keys.join(reps, "_d").filter("_id <> _rep").select(F.col("_rep").alias("a"), F.col("_id").alias("b"), F.lit(1.0).alias("similarity"))
+    sets = df.join(reps.select(F.col("_rep").alias("_id")), "_id")
+    each = sets.select("_id", F.size("_w").alias("_n"), F.explode("_w").alias("_word")).select("_id", "_n", F.xxhash64("_word").alias("_h"))
+    shared = each.groupBy("_h").agg(F.count("*").alias("_c")).filter("_c > 1")  # a word of one set finds none, but it has its place
+    by_set = each.join(shared, "_h").groupBy("_id", "_n").agg(F.array_sort(F.collect_list(F.struct("_c", "_h"))).alias("_s"))
+    alone = F.col("_n") - F.size("_s")
+    first = by_set.select("_id", "_n", alone.alias("_u"), F.slice("_s", 1, F.greatest(F.lit(0), F.expr(f"CAST(_n - _n * {percent} div 100 AS INT)") - alone)).alias("_s"))
+    asks = first.select("_id", "_n", "_u", F.posexplode("_s").alias("_at", "_x")).select("_id", "_n", (F.col("_n") - F.col("_u") - F.col("_at")).alias("_left"), F.col("_x._h").alias("_h"))
+    a, b = (asks.select("_h", *[F.col(c).alias(f"{side}{c}") for c in ("_id", "_n", "_left")]) for side in "ab")
+    most = F.least("a_left", "b_left")
+    found = a.join(b, "_h").filter((F.col("a_id") < F.col("b_id")) & ((100 + percent) * most > percent * (F.col("a_n") + F.col("b_n")))).select("a_id", "b_id").distinct()
+    wa, wb = sets.select(F.col("_id").alias("a_id"), F.col("_w").alias("_wa")), sets.select(F.col("_id").alias("b_id"), F.col("_w").alias("_wb"))
+    pairs = found.join(wa, "a_id").join(wb, "b_id").withColumn("similarity", jaccard(F.col("_wa"), F.col("_wb"))).filter(F.col("similarity") > percent / 100)
+    return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "similarity").unionByName(copies)
+
+
 @F.pandas_udf(DoubleType())
 def ratcliff_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two texts; null where either is null."""

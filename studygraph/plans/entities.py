@@ -104,6 +104,19 @@ def jaccard_dedup_pairs(spark, sf_dir):
     return pairs.filter("j > 0.8").select("a", "b", F.round("j", 6).alias("similarity"))
 
 
+@query("jaccard_dedup_pairs_all", """
+WITH w AS (SELECT doc_id, list_sort(list_distinct(string_split(regexp_replace(lower(trim(text)), '\\s+', ' ', 'g'), ' '))) AS w FROM documents WHERE text IS NOT NULL),
+r AS (SELECT min(doc_id) AS rep, w FROM w GROUP BY w)
+SELECT a.rep AS a, b.rep AS b, round(len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))), 6) AS similarity
+FROM r a JOIN r b ON a.rep < b.rep WHERE len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) > 0.8
+UNION ALL SELECT rep, doc_id, 1.0 FROM w JOIN r ON w.w = r.w WHERE doc_id <> rep
+""")
+def jaccard_dedup_pairs_all(spark, sf_dir):
+    """Documents of any source with a word Jaccard above 0.8; of documents with equal words only the first is compared."""
+    w = table(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.split(F.regexp_replace(F.lower(F.trim("text")), r"\s+", " "), " ")).alias("w"))
+    return match.near_sets(w, "doc_id", "w", 80).select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
 @query("reconcile_priority", """
 WITH c AS (
   SELECT o_orderkey AS key, 'orders' AS source, 10 AS priority, o_orderkey * 10 AS pos, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS label, o_orderstatus = 'F' AS closed FROM orders

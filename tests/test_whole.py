@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
 
 from studygraph import plans
+from studygraph.operators import match
 from tests.test_queries import DATA, same
 
 
@@ -44,3 +47,19 @@ def test_every_reference_is_rewritten(spark):
 
 def test_no_user_vanishes(spark):
     assert {r["user_id"] for r in plans.queries()["clinical_epoch_type_all"](spark, DATA).collect()} == {r[0] for r in rows(spark, "events", "user_id")}
+
+
+def test_near_sets_as_all_pairs(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(60)]
+    sets = []
+    for _ in range(60):
+        base = rng.sample(vocabulary, rng.randint(1, 20))
+        sets += [base, rng.sample(base, len(base)), [*base, "0first"], base[1:] or ["a"], [*base[1:], "!x"]]
+    got = sorted(map(tuple, match.near_sets(spark.createDataFrame([*enumerate(sets), (999, None)], "id long, w array<string>"), "id", "w", 80).collect()))
+    rep = {}
+    for k, w in enumerate(sets):
+        rep.setdefault(frozenset(w), k)
+    want = [(rep[frozenset(w)], k, 1.0) for k, w in enumerate(sets) if rep[frozenset(w)] != k]
+    want += [(min(rep[x], rep[y]), max(rep[x], rep[y]), len(x & y) / len(x | y)) for x, y in combinations(rep, 2) if len(x & y) > 0.8 * len(x | y)]
+    assert got == sorted(want)
