@@ -4,11 +4,13 @@ in a table of known licence digests. DataFrame functions only."""
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from studygraph.llm.license_texts import TEXTS
+
 # Spellings that licence texts use for the same word; the first is written, the second is kept.
 SPELLINGS = {
     "licence": "license",
@@ -48,6 +50,9 @@ NOTICES = {
     "proprietary": "All rights reserved.",
 }
 
+#: What the registered query knows: the notices, and the texts with and without their titles and "All rights reserved."
+KNOWN = {k: ([NOTICES[k]] if k in NOTICES else []) + [f"{a}\n{b}\n{TEXTS[k][1]}" for a in {"", TEXTS[k][0]} for b in ("", "All rights reserved.")] if k in TEXTS else [NOTICES[k]] for k in NOTICES | TEXTS}
+
 #: A line that begins so is a copyright line and says nothing of the licence.
 COPYRIGHT_LINE = r"(?md)^[ \t]*(?:copyright|\(c\)|©)[^\n]*$"
 #: What is neither letter nor digit separates words.
@@ -57,8 +62,12 @@ SEPARATORS = r"[^\p{L}\p{N}]+"
 def canonical(text: Column) -> Column:
     """The canonical form: lower case, no copyright lines, one space for every run of punctuation or white space, one
     spelling of words that have several, one space before and after. Null stands for the empty text."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " ")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, SEPARATORS, " "), F.lit(" "))
+    return spelled(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " "))
+
+
+def spelled(text: Column) -> Column:
+    """The canonical form of a text in lower case, copyright lines kept: it doesn't depend on where lines break."""
+    out = F.concat(F.lit(" "), F.regexp_replace(text, SEPARATORS, " "), F.lit(" "))
     for written, kept in SPELLINGS.items():
         out = F.replace(out, F.lit(f" {written} "), F.lit(f" {kept} "))
     return F.regexp_replace(out, " +", " ")
@@ -69,25 +78,36 @@ def digest(text: Column) -> Column:
     return F.sha2(F.encode(canonical(text), "UTF-8"), 256)
 
 
-def known_digests(spark: SparkSession, licences: Mapping[str, str]) -> DataFrame:
+def known_texts(spark: SparkSession, licences: Mapping[str, str | Sequence[str]]) -> DataFrame:
+    """(license_id, text) of the licences, of which each has one text or several."""
+    return spark.createDataFrame([(k, t) for k, v in licences.items() for t in ([v] if isinstance(v, str) else v)], "license_id string, text string")
+
+
+def known_digests(spark: SparkSession, licences: Mapping[str, str | Sequence[str]]) -> DataFrame:
     """(digest, license_id) of licence texts by id; of texts with one canonical form the smallest id stays. It has a row
     per licence given by the caller, so it is small enough to broadcast."""
-    rows = spark.createDataFrame([(k, v) for k, v in licences.items()], "license_id string, text string")
-    return rows.select(digest(F.col("text")).alias("digest"), "license_id").groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    return known_texts(spark, licences).select(digest(F.col("text")).alias("digest"), "license_id").groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
-def scan_licenses(docs: DataFrame, licences: Mapping[str, str] = NOTICES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, licences: Mapping[str, str | Sequence[str]] = NOTICES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: the id, digest (of the entire text), license_id where a known licence has that digest (else
-    null), and notices: the sorted distinct ids of those lines of it that are a known licence in full (else empty).
+    null), and notices: the sorted distinct ids of the known licences in it in full (else empty): of those of one line that
+    are a line of it, and of those of several lines whose words stand in it one after the other.
 
-    The digest of every entire text and of every line is looked up, whatever its length. Null text is the empty text; it
+    The digest of every entire text and of every line is looked up, whatever its length. Licences of several lines are
+    looked for in the whole text's words, so that other line breaks do not hide them. Null text is the empty text; it
     matches nothing unless an empty licence is given. Repeated rows give repeated results, an empty table gives no rows;
     other columns are not looked at, so their names may clash with those made here. The licences are the caller's own
     list and no data of the documents: only they are broadcast, as a hash table of digests."""
     known = known_digests(docs.sparkSession, licences)
     by_digest = F.from_json(F.lit(json.dumps({r["digest"]: r["license_id"] for r in known.collect()})), "map<string,string>")
     found = F.transform(F.split(F.coalesce(F.col("_text"), F.lit("")), "\n"), lambda line: F.try_element_at(by_digest, digest(line)))
+    long = known_texts(docs.sparkSession, licences).filter(F.col("text").rlike(r"\S\s*\n\s*\S")).select("license_id", spelled(F.lower("text")).alias("form")).distinct().collect()
+    long = [r for r in long if not any(x["license_id"] == r["license_id"] and x["form"] != r["form"] and x["form"] in r["form"] for x in long)]
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text")).withColumn("digest", digest(F.col("_text")))
+    if long:
+        rows = rows.withColumn("_form", spelled(F.lower(F.coalesce("_text", F.lit("")))))
+        found = F.concat(found, F.transform(F.filter(F.array(*[F.struct(F.lit(r["license_id"]).alias("id"), F.lit(r["form"]).alias("form")) for r in long]), lambda k: F.contains(F.col("_form"), k["form"])), lambda k: k["id"]))
     return rows.join(F.broadcast(known), "digest", "left").select(id_col, "digest", "license_id", F.array_sort(F.array_distinct(F.array_compact(found))).alias("notices"))
 
 

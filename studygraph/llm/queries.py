@@ -78,7 +78,7 @@ def op7_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of all documents by the digest of their canonical form."""
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.KNOWN)
 
 
 def op9_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,3 +25,11 @@ def test_cases(spark):
     assert got == {(1, "MIT", ("MIT",)), (2, "MIT", ("MIT",)), (3, None, ()), (4, None, ()), (5, None, ("CC-BY-4.0", "proprietary")), (None, None, ())}
     assert licenses.scan_licenses(docs).count() == 7
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_whole_texts(spark):
+    title, mit = licenses.TEXTS["MIT"]
+    isc = " ".join(licenses.TEXTS["ISC"][1].split())
+    docs = [(1, f"{title}\n\nCopyright (c) 2020 Someone\n\n{mit}"), (2, mit.replace("\n", " ")), (3, "some words\n# " + mit.replace("\n", "\n# ") + "\nmore"), (4, mit.replace("free of charge", "at a price")), (5, "a b c " + "\n".join(isc.split(" the ", 1)) + " d"), (6, "x\nRedistribution " + isc), (7, "All rights reserved.\n" + licenses.TEXTS["BSD-2-Clause"][1]), (8, licenses.TEXTS["BSD-3-Clause"][1])]
+    got = {r["doc_id"]: (r["license_id"], r["notices"]) for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string"), licenses.KNOWN).collect()}
+    assert got == {1: ("MIT", ["MIT"]), 2: ("MIT", ["MIT"]), 3: (None, ["MIT"]), 4: (None, []), 5: (None, []), 6: (None, ["ISC"]), 7: ("BSD-2-Clause", ["BSD-2-Clause", "proprietary"]), 8: ("BSD-3-Clause", ["BSD-3-Clause"])}
