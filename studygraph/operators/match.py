@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+#: Characters of a short needle that are looked up at most.
+GRAM = 8
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key. The rows of a key meet only after each task has kept its own first one."""
     best = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns if c not in keys]), F.struct(*order)).alias("_row"))
@@ -35,19 +40,36 @@ def grams(text: Column, n: int) -> Column:
 
 def contained(needles: DataFrame, hays: DataFrame, needle_id: str, hay_id: str, text: str = "text", words: int = 4) -> DataFrame:
     """(needle_id, hay_id) of every needle that a hay contains. Both are cut into words; a hay is asked for by each run of
-    as many words as begin a needle's inner part, so the join is on equal words and `contains` only confirms. Needles
-    must have words + 2 words at least; shorter ones are not looked for."""
+    as many words as begin a needle's inner part, so the join is on equal words and `contains` only confirms. Needles of
+    3 to words + 1 words are asked for by all their inner words; those of 1 or 2 by the first characters of their longest
+    word, which the hays' distinct words are asked for. Runs are made only of the lengths that the needles need, which are
+    words + GRAM numbers at most. Needles of white space alone are compared with each hay. Null is found nowhere."""
 
     def split(c: str) -> Column:
         return F.split(F.regexp_replace(F.lower(c), r"\s+", " "), " ")
 
-    def key(w: Column, at: Column | int) -> Column:
-        return F.array_join(F.slice(w, at, words), " ")
-
-    n = needles.select(needle_id, F.col(text).alias("_needle"), split(text).alias("_w")).filter(F.size("_w") >= words + 2).select(needle_id, "_needle", key(F.col("_w"), 2).alias("_key"))
+    longest = F.array_max(F.transform(F.split(F.col(text), r"\s+"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    n = needles.filter(F.col(text).isNotNull()).select(needle_id, F.col(text).alias("_needle"), split(text).alias("_w"), longest.alias("_part"))
+    n = n.withColumn("_run", F.greatest(F.lit(0), F.least(F.size("_w") - 2, F.lit(words)))).withColumn("_gram", F.when(F.col("_run") == 0, F.least(F.length("_part"), F.lit(GRAM))))
     h = hays.select(hay_id, F.col(text).alias("_hay"), split(text).alias("_w"))
-    runs = h.filter(F.size("_w") >= words).select(hay_id, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_w") - (words - 1)), lambda i: key(F.col("_w"), i)))).alias("_key"))
-    hits = runs.join(n, "_key").select(needle_id, hay_id, "_needle").distinct()
+    hits = []
+    for run, gram in sorted((r[0], r[1] or 0) for r in n.select("_run", "_gram").distinct().collect()):
+        if run:
+            mine = n.filter(F.col("_run") == run).select(needle_id, "_needle", F.array_join(F.slice("_w", 2, run), " ").alias("_key"))
+            runs = h.filter(F.size("_w") >= run).select(hay_id, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_w") - (run - 1)), lambda i: F.array_join(F.slice("_w", i, run), " ")))).alias("_key"))
+            hits.append(runs.join(mine, "_key").select(needle_id, hay_id, "_needle"))
+        elif gram:
+            mine = n.filter(f"_run = 0 AND _gram = {gram}").select(needle_id, "_needle", "_part", F.substring("_part", 1, gram).alias("_key"))
+            each = h.select(hay_id, F.explode(F.array_distinct(F.split("_hay", r"\s+"))).alias("_word"))
+            keys = each.select("_word").distinct().filter(F.length("_word") >= gram).select("_word", F.explode(grams(F.col("_word"), gram)).alias("_key"))
+            held = keys.join(mine, "_key").filter(F.contains("_word", F.col("_part"))).select(needle_id, "_needle", "_word")
+            hits.append(each.join(held, "_word").select(needle_id, hay_id, "_needle"))
+        else:
+            blank = n.filter("_run = 0 AND _gram = 0").select(needle_id, "_needle")
+            hits.append(h.join(blank, F.contains("_hay", F.col("_needle"))).select(needle_id, hay_id, "_needle"))
+    if not hits:
+        return n.join(h.select(hay_id), F.lit(False)).select(needle_id, hay_id)
+    hits = reduce(DataFrame.unionByName, hits).distinct()
     return hits.join(h.select(hay_id, "_hay"), hay_id).filter(F.contains("_hay", F.col("_needle"))).select(needle_id, hay_id)
 
 

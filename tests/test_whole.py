@@ -63,3 +63,13 @@ def test_near_sets_as_all_pairs(spark):
     want = [(rep[frozenset(w)], k, 1.0) for k, w in enumerate(sets) if rep[frozenset(w)] != k]
     want += [(min(rep[x], rep[y]), max(rep[x], rep[y]), len(x & y) / len(x | y)) for x, y in combinations(rep, 2) if len(x & y) > 0.8 * len(x | y)]
     assert got == sorted(want)
+
+
+def test_contained_as_all_pairs(spark):
+    rng = random.Random(7)
+    hays = [(k, "".join(rng.choice("abAé \n") for _ in range(rng.randint(0, 60)))) for k in range(60)] + [(99, None), (100, "Visit 12 screening  day and follow-up of the whole study")]
+    needles = [(k, "".join(rng.choice("abAé  ") for _ in range(rng.randint(0, 9)))) for k in range(200)]
+    needles += [(k, t) for k, (_, h) in enumerate(hays[:60], 300) for t in [h[5:30]]] + [(400, "reenin"), (401, "isit 12"), (402, "screening  d"), (403, "llow-up of"), (404, "screening d"), (405, None), (406, "and follow-up of the whole stu")]
+    got = sorted(map(tuple, match.contained(spark.createDataFrame(needles, "n long, text string"), spark.createDataFrame(hays, "h long, text string"), "n", "h").collect()))
+    assert got == sorted((n, h) for n, t in needles for h, s in hays if t is not None and s is not None and t in s)
+    assert {n for n, h in got if h == 100 and n >= 400} == {400, 401, 402, 403, 406}
