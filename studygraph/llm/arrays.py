@@ -12,27 +12,29 @@ import pyarrow as pa
 import pyarrow.compute
 
 #: Bytes of text looked at together in a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 512 << 10
+#: Values whose sums are taken together.
+CHUNK = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash base and of its inverse, modulo 2**64."""
-    size = 1 << max(12, int(n).bit_length())
-    if size not in _powers:
+    """The first n powers, at least, of the hash base and of its inverse, modulo 2**64. The longest made so far are kept."""
+    global _powers
+    if len(_powers[0]) < n:
+        size = 1 << max(12, int(n - 1).bit_length())
         made = []
         for base in (_BASE, _INVERSE):
             x = np.full(size, base, np.uint64)
             x[0] = 1
             made.append(np.cumprod(x, dtype=np.uint64))
-        if size <= 1 << 23:
-            _powers.clear()
-            _powers[size] = (made[0], made[1])
-        return made[0], made[1]
-    return _powers[size]
+        if size > 4 * CHUNK:  # a single very long span: not worth keeping
+            return made[0], made[1]
+        _powers = (made[0], made[1])
+    return _powers
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -108,11 +110,23 @@ def terms(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans of bytes; equal bytes, equal hashes."""
-    up, down = powers(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hashes of spans of bytes, which follow one another; equal bytes, equal hashes. Sums are taken over CHUNK
+    bytes at a time, or over one span that is longer, so that they need little memory beside the text."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        origin = int(starts[at])
+        stop = max(at + 1, int(np.searchsorted(ends, origin + CHUNK, "right")))
+        part = raw[origin : int(ends[stop - 1])].astype(np.uint64)
+        part += np.uint64(1)
+        up, down = powers(len(part) + 1)
+        part *= up[: len(part)]
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part, out=total[1:])
+        first, last = starts[at:stop] - origin, ends[at:stop] - origin
+        out[at:stop] = mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
+        at = stop
+    return out
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -120,10 +134,14 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes)
     if n < width:
         return np.zeros(0, np.uint64)
-    up, down = powers(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(hashes * up[:n], out=total[1:])
-    return mix((total[width:] - total[:-width]) * down[: n - width + 1])
+    out = np.empty(n - width + 1, np.uint64)
+    for at in range(0, len(out), CHUNK):
+        part = hashes[at : at + CHUNK + width - 1]
+        up, down = powers(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * up[: len(part)], out=total[1:])
+        out[at : at + CHUNK] = mix((total[width:] - total[:-width]) * down[: len(part) - width + 1])
+    return out
 
 
 def window_starts(first: np.ndarray, width: int) -> np.ndarray:
