@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterable
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -13,18 +17,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session. Only where that is unset (a
-    single machine, as in tests) a temporary folder is made and set."""
+    """The folder that driver and executors share: spark.checkpoint.dir of the session. Where that is unset, a single
+    machine gets a temporary folder, as in tests; on a cluster this raises, for its machines share no such folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="studygraph-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+#: Paths written and not deleted yet.
+_live: set[str] = set()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/studygraph/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, which counts as live until it is deleted."""
+    path = f"{shared_dir(spark)}/studygraph/{name}-{uuid.uuid4().hex}"
+    _live.add(path)
+    return path
+
+
+def live() -> set[str]:
+    """The paths that results still read. A lazy result needs its last tables until it has been read, so they stay; a
+    caller that is done with all results made since `before = live()` deletes them by clear(spark, live() - before), and
+    those left go when the driver's Python ends with its session still up."""
+    return set(_live)
+
+
+def clear(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        delete(spark, path)
+
+
+@atexit.register
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if SparkContext._active_spark_context is not None else None
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the session may be ending; what is left is files only
+            clear(spark, live())
 
 
 class Written:
@@ -60,5 +93,6 @@ class Written:
 def delete(spark: SparkSession, path: str) -> None:
     """Deletes a path in whatever store holds it."""
     jvm = spark.sparkContext._jvm
+    _live.discard(path)
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -5,23 +5,27 @@ Fixed-block anchors: the reference is every `window // 2`-th block of that many
 the reference blocks, and what is hit is extended: around every hit the whole windows are looked up again, and windows
 that follow one another join to maximal repeats.
 
-Both look-ups go by hash, in buckets. Documents are dealt to groups; a group asks for each value once, however often it
-has it, and gets back the values that count, so a passage that a third of all documents hold is asked for once a group."""
+Both look-ups are rows in a shuffle, as many as there are distinct values in groups of documents: a group asks for each
+value once, however often it has it, so a passage that a third of all documents hold is one row for each group. Blocks
+are only candidates; windows are equal if their rolling hash and a BLAKE2b digest of their words are."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from studygraph.llm import arrays
 from studygraph.llm.shared import Written
 
-#: Bytes of text that a group of documents, and a bucket of hashes, is made for.
+#: Bytes of text that a group of documents is made for.
 GROUP_BYTES = 8 << 20
+#: Values that a task holds before it passes the distinct ones on.
+HELD = 1 << 19
 _NO_ID = (1 << 63) - 1
 
 
@@ -53,39 +57,6 @@ def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, I
             pass
 
 
-def scattered(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[tuple[int, dict[str, bytes]]]:
-    """Rows by bucket, their columns as bytes."""
-    if not len(bucket):
-        return
-    order = np.argsort(bucket, kind="stable")
-    ranked = bucket[order]
-    head = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-    moved = {k: v[order] for k, v in columns.items()}
-    for a, z in zip(head, np.append(head[1:], len(ranked)), strict=True):
-        yield int(ranked[a]), {k: v[a:z].tobytes() for k, v in moved.items()}
-
-
-def packed(rows: list[tuple[int, int, dict[str, bytes]]], names: tuple[str, str], columns: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), *[pa.array([r[2][c] for r in rows], pa.binary()) for c in columns]],
-        [*names, *columns],
-    )
-
-
-def joined(batches: Iterator[pa.RecordBatch], columns: dict[str, type], owner: str) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Packed rows laid end to end: the owner of each entry, and the columns."""
-    owners, parts = [], {c: [] for c in columns}
-    for batch in batches:
-        lengths = None
-        for c, kind in columns.items():
-            held = [np.frombuffer(x, kind) for x in batch.column(c).to_pylist()]
-            lengths = [len(x) for x in held]
-            parts[c] += held
-        owners.append(np.repeat(batch.column(owner).to_numpy(zero_copy_only=False), lengths))
-    empty = {c: np.zeros(0, kind) for c, kind in columns.items()}
-    return np.concatenate(owners) if owners else np.zeros(0, np.int32), {c: np.concatenate(v) if v else empty[c] for c, v in parts.items()}
-
-
 def runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order that sorts values, and where each run of equal ones starts in it."""
     order = np.argsort(values, kind="stable")
@@ -93,19 +64,6 @@ def runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(values) else np.zeros(0, np.int64)
 
 
-def slot(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and 32-bit value of 64-bit hashes."""
-    return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), hashes.astype(np.uint32)
-
-
-def member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Which x occur in sorted values."""
-    if not len(sorted_values):
-        return np.zeros(len(x), bool)
-    at = np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)
-    return sorted_values[at] == x
-
-
 def hashed(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, word starts, word ends, first word of each text, word hashes."""
     raw, offsets = arrays.text_bytes(part.column("text"))
@@ -113,10 +71,49 @@ def hashed(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return raw, starts, ends, first, arrays.span_hashes(raw, starts, ends)
 
 
-def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def windows(hashes: np.ndarray, first: np.ndarray, width: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Positions where a window of width words of one text starts, and the windows' hashes."""
     at = np.flatnonzero(arrays.window_starts(first, width))
-    return at, arrays.window_hashes(hashes, width)[at] if len(at) else np.zeros(0, np.uint64)
+    values = arrays.window_hashes(hashes, width)[at] if len(at) else np.zeros(0, np.uint64)
+    return at, (values if bits == 64 else values & np.uint64((1 << bits) - 1)).view(np.int64)
+
+
+def digests(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """64 bits of BLAKE2b of the words, joined by one space, of each window that starts at word `at`."""
+    if not len(at):
+        return np.zeros(0, np.int64)
+    wanted = np.zeros(len(starts) + 1, np.int32)
+    np.add.at(wanted, at, 1)
+    np.add.at(wanted, at + width, -1)
+    used = np.flatnonzero(np.cumsum(wanted[:-1]) > 0)
+    size = ends[used] - starts[used] + 1
+    place = np.concatenate(([0], np.cumsum(size)))
+    text = np.full(int(place[-1]), 32, np.uint8)
+    source = np.repeat(starts[used] - place[:-1], size) + np.arange(len(text))
+    last = place[1:] - 1
+    source[last] = 0
+    text = raw[source]
+    text[last] = 32
+    data = memoryview(text.tobytes())
+    begin = np.searchsorted(used, at)
+    one = [blake2b(data[a:z], digest_size=8).digest() for a, z in zip(place[begin].tolist(), last[begin + width - 1].tolist(), strict=True)]
+    return np.frombuffer(b"".join(one), np.int64)
+
+
+def places(known: tuple[np.ndarray, np.ndarray], value: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """Where each (value, digest) stands among known ones, which are sorted; -1 where it does not."""
+    values, digests_ = known
+    at = np.searchsorted(values, value)
+    out = np.full(len(value), -1, np.int64)
+    todo = np.arange(len(value))
+    while len(todo):
+        todo = todo[at[todo] < len(values)]
+        todo = todo[values[at[todo]] == value[todo]]
+        same = digests_[at[todo]] == digest[todo]
+        out[todo[same]] = at[todo[same]]
+        todo = todo[~same]  # another digest of the same value may follow
+        at[todo] += 1
+    return out
 
 
 def spaced(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, kept: np.ndarray) -> pa.Array:
@@ -135,138 +132,125 @@ def spaced(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndar
     return pa.Array.from_buffers(pa.large_string(), len(first) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]).cast(pa.string())
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, keep: Sequence[str] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, keep: Sequence[str] = (), value_bits: int = 64) -> DataFrame:
     """Per row of docs: the id, n_words, n_removed, kept_text (its kept words, joined by one space) and repeats: the
     maximal runs of removed windows as array<struct<start int, length int>> in words of the input; and the columns named
-    in keep, unchanged (they must not have one of these names).
+    in keep, unchanged (a ValueError if one has a name made here).
 
     Words are [^\\x20\\x09-\\x0D]+. A window starts earlier if it starts in a document with a smaller id or before in the
     same one. Windows are judged on the input, not on what is left, and the first copy of each stays. Null text has no
     words. Rows that repeat an id count as separate documents, in the order of their texts; rows without an id come after
-    all others. An empty table gives no rows; other columns are not looked at, so their names may clash."""
+    all others, in the order of their texts' hashes (by which they are spread). An empty table gives no rows; other
+    columns are not looked at, so their names may clash. value_bits: of the rolling hashes; the result is the same with
+    fewer, there are only more candidates."""
     spark = docs.sparkSession
     tables = Written(spark)
     block = window // 2
     if block < 1:
         raise ValueError("window must be 2 words at least")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(c).alias(f"kept{i}") for i, c in enumerate(keep)])
+    if clash := {id_col, "n_words", "n_removed", "kept_text", "repeats"} & set(keep):
+        raise ValueError(f"columns to keep with names made here: {sorted(clash)}")
     extra = [f"kept{i}" for i in range(len(keep))]
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(c).alias(e) for c, e in zip(keep, extra, strict=True)])
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = buckets = int(size // GROUP_BYTES) + 1
-    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("q"), F.lit(1).alias("kind"), F.coalesce("id", F.lit(_NO_ID)).alias("id"), "text", *extra)
-    texts = tables.put("texts", dealt.repartition("q").sortWithinPartitions("q", "id", "text"))
+    tie = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    dealt = rows.select(F.pmod(F.coalesce(F.nullif(tie, F.lit(0)), F.xxhash64("id")), F.lit(int(size // GROUP_BYTES) + 1)).cast("int").alias("q"), F.coalesce("id", F.lit(_NO_ID)).alias("id"), tie.alias("tie"), "text", *extra)
+    texts = tables.put("texts", dealt.repartition("q").sortWithinPartitions("q", "id", "tie", "text"))
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(value, asked) of rolling blocks, once for each group or for HELD values of it. asked: the group times 4, and 1
+        if one of them is a reference block, and 2 if there are several."""
+
+        def distinct(q: int, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            values, reference = (np.concatenate(x) for x in zip(*held, strict=True))
+            order, head = runs_of(values)
+            flags = np.bitwise_or.reduceat(reference[order], head).astype(np.int64) + 2 * (np.diff(np.append(head, len(order))) > 1)
+            return pa.RecordBatch.from_arrays([pa.array(values[order][head]), pa.array(4 * q + flags)], ["value", "asked"])
+
         for q, mine in by_key(batches, "q"):
+            held, n = [], 0
             for batch in mine:
                 for part in arrays.slices(batch, "text"):
                     _, _, _, first, hashes = hashed(part)
-                    at, values = windows(hashes, first, block)
-                    reference = (at - np.repeat(first[:-1], np.diff(first))[at]) % block == 0 if len(at) else np.zeros(0, bool)
-                    order, head = runs_of(values)
-                    if not len(head):
+                    at, values = windows(hashes, first, block, value_bits)
+                    if not len(at):
                         continue
-                    flags = np.bitwise_or.reduceat(reference[order].astype(np.uint8), head) | (np.diff(np.append(head, len(order))) > 1).astype(np.uint8) * 2
-                    bucket, value = slot(values[order][head], buckets)
-                    yield packed([(b, q, c) for b, c in scattered(bucket, {"value": value, "flags": flags})], ("bucket", "q"), ["value", "flags"])
-
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, mine in by_key(batches, "bucket"):
-            owner, c = joined(mine, {"value": np.uint32, "flags": np.uint8}, "q")
-            order, head = runs_of(c["value"])
-            if not len(head):
-                continue
-            often = np.diff(np.append(head, len(order)))
-            flags = np.bitwise_or.reduceat(c["flags"][order], head)
-            live = ((flags & 1) > 0) & ((often > 1) | ((flags & 2) > 0))
-            chosen = order[np.repeat(live, often)]
-            out = [(q, bucket, {"value": np.unique(np.frombuffer(x["value"], np.uint32)).tobytes()}) for q, x in scattered(owner[chosen], {"value": c["value"][chosen]})]
-            if out:
-                yield packed(out, ("q", "bucket"), ["value"])
-
-    asked = texts.select("q", "text").mapInArrow(probes, "bucket int, q int, value binary, flags binary")
-    hit = tables.put("hits", asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(hits, "q int, bucket int, value binary"))
+                    held.append((values, (at - np.repeat(first[:-1], np.diff(first))[at]) % block == 0))
+                    n += len(at)
+                    if n >= HELD:
+                        yield distinct(q, held)
+                        held, n = [], 0
+            if held:
+                yield distinct(q, held)
+
+    of_value = Window.partitionBy("value")
+    asked = texts.select("q", "text").mapInArrow(probes, "value long, asked long").withColumns({"n": F.count("*").over(of_value), "all": F.bit_or("asked").over(of_value)})
+    hit = tables.put("hits", asked.filter("(all & 1) > 0 AND (n > 1 OR (all & 2) > 0)").select((F.shiftright("asked", 2)).cast("int").alias("q"), "value"))
 
     def with_answers(answers: DataFrame) -> DataFrame:
-        """Each group's answers, before its texts."""
-        left = texts.select("q", "kind", "id", "text", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("value"), F.lit(None).cast("binary").alias("here"), *extra)
-        here = F.col("here") if "here" in answers.columns else F.lit(None).cast("binary")
-        right = answers.select("q", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("text"), "bucket", "value", here.alias("here"), *[F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in extra])
-        return left.union(right).repartition("q").sortWithinPartitions("q", "kind", "id", "text")
+        """Each group's answers, sorted, before its texts. Their two numbers stand in the columns id and tie."""
+        left = texts.select("q", F.lit(1).alias("kind"), "id", "tie", "text", F.lit(None).cast("boolean").alias("here"), *extra)
+        right = answers.select("q", F.lit(0).alias("kind"), F.col("value").alias("id"), F.col("digest").alias("tie"), F.lit(None).cast("string").alias("text"), "here", *[F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in extra])
+        return left.union(right).repartition("q").sortWithinPartitions("q", "kind", "id", "tie", "text")
 
-    def split(mine: Iterator[pa.RecordBatch], load: Callable[[list[pa.RecordBatch]], object]) -> Iterator[tuple[object, pa.RecordBatch]]:
+    def split(mine: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch]]:
+        """Slices of a group's texts, each with the group's answers: value, digest, here, and a mark for the caller."""
         answers, loaded = [], None
         for batch in mine:
             n = int((batch.column("kind").to_numpy(zero_copy_only=False) == 0).sum())
             if n:
-                answers.append(batch.slice(0, n))
+                answers.append([batch.column(c).slice(0, n).to_numpy(zero_copy_only=False) for c in ("id", "tie", "here")])
             if n < len(batch):
                 if loaded is None:
-                    loaded, answers = load(answers), []
+                    value, digest, here = (np.concatenate([a[k] for a in answers]) if answers else np.zeros(0, kind) for k, kind in enumerate((np.int64, np.int64, bool)))
+                    loaded, answers = (value, digest, here, np.zeros(len(value), bool)), []
                 for part in arrays.slices(batch.slice(n), "text"):
                     yield loaded, part
 
-    def load_hits(answers: list[pa.RecordBatch]) -> np.ndarray:
-        owner, c = joined(iter(answers), {"value": np.uint32}, "bucket")
-        return np.sort(owner.astype(np.uint64) << np.uint64(32) | c["value"].astype(np.uint64))
-
     def extensions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of the windows around hits, each distinct one of a slice: hash and digest, where it first starts, the group
+        times 2, and 1 if there are several."""
         for q, mine in by_key(batches, "q"):
-            for live, part in split(mine, load_hits):
-                _, _, _, first, hashes = hashed(part)
-                at, values = windows(hashes, first, block)
-                bucket, value = slot(values, buckets)
+            for (live, *_), part in split(mine):
+                raw, starts, ends, first, hashes = hashed(part)
+                at, values = windows(hashes, first, block, value_bits)
                 count = np.zeros(int(first[-1]) + window + 1, np.int64)
-                count[at[member(live, bucket.astype(np.uint64) << np.uint64(32) | value.astype(np.uint64))] + 1] = 1
+                if len(live) and len(at):
+                    count[at[live[np.minimum(np.searchsorted(live, values), len(live) - 1)] == values] + 1] = 1
                 count = np.cumsum(count)
-                at, values = windows(hashes, first, window)
+                at, values = windows(hashes, first, window, value_bits)
                 near = count[at + window - block + 1] > count[at]
                 at, values = at[near], values[near]
-                order, head = runs_of(values)  # of equal windows the first stands for all: texts are in the order of ids
-                again = (np.diff(np.append(head, len(order))) > 1).astype(np.uint8)
-                lead = order[head]
-                values = values[lead]
-                ids = np.repeat(part.column("id").to_numpy(zero_copy_only=False), np.diff(first))[at[lead]]
-                bucket, _ = slot(values, buckets)
-                out = [(b, q, c) for b, c in scattered(bucket, {"value": values, "id": ids, "again": again})]
-                if out:
-                    yield packed(out, ("bucket", "q"), ["value", "id", "again"])
-
-    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, mine in by_key(batches, "bucket"):
-            owner, c = joined(mine, {"value": np.uint64, "id": np.int64, "again": np.uint8}, "q")
-            order = np.lexsort((owner, c["id"], c["value"]))
-            values = c["value"][order]
-            head = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
-            often = np.diff(np.append(head, len(order)))
-            first_owner = np.repeat(owner[order][head], often)
-            if not len(head):
-                continue
-            twice = np.repeat((often > 1) | (np.maximum.reduceat(c["again"][order], head) > 0), often)
-            here = (owner[order] == first_owner).astype(np.uint8)
-            out = [(q, bucket, x) for q, x in scattered(owner[order][twice], {"value": values[twice], "here": here[twice]})]
-            if out:
-                yield packed(out, ("q", "bucket"), ["value", "here"])
-
-    extended = with_answers(hit).mapInArrow(extensions, "bucket int, q int, value binary, id binary, again binary")
-    answer = tables.put("repeats", extended.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(repeated, "q int, bucket int, value binary, here binary"))
+                if not len(at):
+                    continue
+                digest = digests(raw, starts, ends, at, window)
+                order = np.lexsort((digest, values))  # of equal windows the first stands for all: texts are in the order of ids
+                v, d = values[order], digest[order]
+                head = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (d[1:] != d[:-1])))
+                again = np.diff(np.append(head, len(order))) > 1
+                row = np.repeat(np.arange(len(part)), np.diff(first))[at[order[head]]]
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays([pa.array(v[head]), pa.array(d[head]), part.column("id").take(take), part.column("tie").take(take), pa.array(2 * q + again.astype(np.int64))], ["value", "digest", "id", "tie", "asked"])
+
+    of_window = Window.partitionBy("value", "digest")
+    group = F.shiftright("asked", 1).cast("int")
+    extended = with_answers(hit.select("q", "value", F.lit(0).cast("long").alias("digest"), F.lit(True).alias("here"))).mapInArrow(extensions, "value long, digest long, id long, tie long, asked long")
+    known = extended.withColumns({"n": F.count("*").over(of_window), "again": F.bit_or("asked").over(of_window), "least": F.min(F.struct("id", "tie", group.alias("q"))).over(of_window)}).filter("n > 1 OR (again & 1) > 0")
+    answer = tables.put("repeats", known.select(group.alias("q"), "value", "digest", (F.col("least.q") == group).alias("here")))
     tables.drop("hits")
 
-    def load_repeats(answers: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        _, c = joined(iter(answers), {"value": np.uint64, "here": np.uint8}, "bucket")
-        order, head = runs_of(c["value"])
-        values = c["value"][order][head]
-        here = np.bitwise_or.reduceat(c["here"][order], head) if len(head) else np.zeros(0, np.uint8)
-        return values, here > 0, np.zeros(len(values), bool)
-
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, mine in by_key(batches, "q"):
-            for (known, here, seen), part in split(mine, load_repeats):
+            for (value, digest, here, seen), part in split(mine):
                 raw, starts, ends, first, hashes = hashed(part)
-                at, values = windows(hashes, first, window)
-                where = np.minimum(np.searchsorted(known, values), max(0, len(known) - 1)) if len(known) else np.zeros(len(at), np.int64)
-                asked = known[where] == values if len(known) else np.zeros(len(at), bool)
-                at, where = at[asked], where[asked]
+                at, values = windows(hashes, first, window, value_bits)
+                if len(value) and len(at):
+                    asked = value[np.minimum(np.searchsorted(value, values), len(value) - 1)] == values
+                    at, values = at[asked], values[asked]
+                    where = places((value, digest), values, digests(raw, starts, ends, at, window))
+                    at, where = at[where >= 0], where[where >= 0]
+                else:
+                    at = where = np.zeros(0, np.int64)
                 order, head = runs_of(where)
                 lead = np.zeros(len(at), bool)
                 lead[order[head]] = True
