@@ -1,13 +1,14 @@
 """Token ids of whole texts by a public tokenizer of the tokenizers library.
 
 The library's own splitting never lets a token cross certain places of a text (before white space, between an ASCII
-letter and ASCII punctuation). Texts are cut at such places into units, each distinct unit is encoded once by the library
+letter and ASCII punctuation, around the string of an added token). Texts are cut at such places into units, each distinct unit is encoded once by the library
 and kept, and a text's ids are its units' ids one after the other. This gives the same ids as encoding the text at once,
 for much less work, as most units are words that were met before."""
 
 from __future__ import annotations
 
 import os
+import re
 from functools import cache
 
 import numpy as np
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 from studygraph.llm import arrays
 
 #: Distinct units that a worker keeps the ids of; past these it starts anew.
-KEPT_UNITS = 1_200_000
+KEPT_UNITS = 600_000
 
 _ASCII_SPACE = arrays._SPACE
 _LETTER = np.zeros(256, bool)
@@ -59,12 +60,16 @@ def cuts(raw: np.ndarray, offsets: np.ndarray, spaced: bool) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file; special tokens' strings are ordinary text, and none are added."""
+    """Ids of texts by a tokenizer file, as its library gives them without adding special tokens: an added token's string
+    in a text is that token."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: Tokens that reach beyond their string, or are found after normalising, leave no place to cut: whole texts are units.
+        self.whole = any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added)
+        self.added = sorted((t.content.encode() for t in added), key=lambda t: (-len(t), t))
         kind = self.tokenizer.pre_tokenizer
         self.spaced = type(kind).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
         self.clear()
@@ -88,20 +93,42 @@ class Encoder:
             self.ends[known + 1 : known + 1 + len(some)] = start + np.cumsum([len(ids) for ids in found])
             self.unit.update(zip(some, range(known, known + len(some)), strict=True))
 
+    def specials(self, raw: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Where the strings of added tokens stand in the texts, from left to right, the longest first."""
+        data = raw.tobytes()
+        if self.whole or not any(t in data for t in self.added):
+            return []
+        pattern = re.compile(b"|".join(map(re.escape, self.added)))
+        return [(int(a) + m.start(), int(a) + m.end()) for a, z in zip(offsets[:-1], offsets[1:], strict=True) for m in pattern.finditer(data[a:z])]
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a string column, where each text's ids start and one more). Null is the empty text."""
         raw, offsets = arrays.text_bytes(column)
-        if not self.spaced:
-            raw = arrays._LOWER[raw]  # the tokenizer lowers letters itself; done before, fewer units differ
-            raw = np.where(_ASCII_SPACE[raw], np.uint8(32), raw)
-        starts = cuts(raw, offsets, self.spaced)
+        special = self.specials(raw, offsets)
+        if self.whole:
+            starts = np.unique(offsets[:-1][np.diff(offsets) > 0])
+        else:
+            given = raw
+            if not self.spaced:
+                raw = arrays._LOWER[raw]  # the tokenizer lowers letters itself; done before, fewer units differ
+                raw = np.where(_ASCII_SPACE[raw], np.uint8(32), raw)
+            starts = cuts(raw, offsets, self.spaced)
+            if special:  # each is a unit of its own, and what is beside it as at a text's bounds
+                inside = np.zeros(len(raw) + 1, bool)
+                bounds = np.array(special)
+                for a, z in special:
+                    inside[a:z] = True
+                    if raw is not given:
+                        raw[a:z] = given[a:z]
+                starts = np.unique(np.concatenate([starts[~inside[starts]], bounds[:, 0], bounds[bounds[:, 1] < len(raw), 1]]))
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        if not self.spaced:
+        sift = not self.spaced and not self.whole
+        if sift:
             keep = ~((raw[starts] == 32) & (np.append(starts[1:], len(raw)) - starts == 1))
         bounds = np.append(starts, len(raw))
         units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())])
-        if not self.spaced:
+        if sift:
             units, starts = units.filter(pa.array(keep)), starts[keep]
         coded = units.dictionary_encode()
         distinct = coded.dictionary.to_pylist()

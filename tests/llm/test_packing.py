@@ -18,7 +18,6 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 def reference(texts, path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -94,6 +93,18 @@ def test_units_give_the_same_ids():
         assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == reference(texts, path)
 
 
+def test_added_tokens():
+    rng = random.Random(3)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<", " ", "\n", "word", "'s", "É", ".", "  ", "\t", "1"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(5000)]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        want = reference(texts, path)
+        ids, at = encoding.Encoder(path).encode(pa.array(texts, pa.string()))
+        assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == want
+    assert len(reference(["hello <|endoftext|> world"], public_tokenizers.path("byte_bpe_50k.json"))[0]) == 4
+
+
 def test_cases(spark):
     rows = [(1, None), (1, None), (2, ""), (3, "word " * 50_000), (None, "a b")]
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, id int, length int")
