@@ -53,8 +53,9 @@ NOTICES = {
 #: What the registered query knows: the notices, and the texts with and without their titles and "All rights reserved."
 KNOWN = {k: ([NOTICES[k]] if k in NOTICES else []) + [f"{a}\n{b}\n{TEXTS[k][1]}" for a in {"", TEXTS[k][0]} for b in ("", "All rights reserved.")] if k in TEXTS else [NOTICES[k]] for k in NOTICES | TEXTS}
 
-#: A line that begins so is a copyright line and says nothing of the licence.
-COPYRIGHT_LINE = r"(?md)^[ \t]*(?:copyright|\(c\)|©)[^\n]*$"
+#: A line that begins so and tells a year or a mark is a copyright line and says nothing of the licence; a sentence that
+#: happens to break before "copyright", or an item (c) of a list, is none.
+COPYRIGHT_LINE = r"(?md)^[ \t]*(?:copyright[^\n]*(?:\(c\)|©|[12][0-9][0-9][0-9])|\(c\)[ \t]*[12][0-9][0-9][0-9]|©)[^\n]*$"
 #: What is neither letter nor digit separates words.
 SEPARATORS = r"[^\p{L}\p{N}]+"
 
@@ -66,10 +67,11 @@ def canonical(text: Column) -> Column:
 
 
 def spelled(text: Column) -> Column:
-    """The canonical form of a text in lower case, copyright lines kept: it doesn't depend on where lines break."""
-    out = F.concat(F.lit(" "), F.regexp_replace(text, SEPARATORS, " "), F.lit(" "))
+    """The canonical form of a text in lower case, copyright lines kept: it doesn't depend on where lines break. Words are
+    spaced twice while spellings are replaced, so that of two words in a row both are."""
+    out = F.concat(F.lit("  "), F.regexp_replace(text, SEPARATORS, "  "), F.lit("  "))
     for written, kept in SPELLINGS.items():
-        out = F.replace(out, F.lit(f" {written} "), F.lit(f" {kept} "))
+        out = F.replace(out, F.lit(f" {written.replace(' ', '  ')} "), F.lit(f" {kept.replace(' ', '  ')} "))
     return F.regexp_replace(out, " +", " ")
 
 
@@ -111,23 +113,34 @@ def scan_licenses(docs: DataFrame, licences: Mapping[str, str | Sequence[str]] =
     return rows.join(F.broadcast(known), "digest", "left").select(id_col, "digest", "license_id", F.array_sort(F.array_distinct(F.array_compact(found))).alias("notices"))
 
 
-def canonical_sql(text: str) -> str:
-    """canonical() in DuckDB SQL."""
-    out = f"regexp_replace(lower(coalesce({text}, '')), '{COPYRIGHT_LINE.replace('(?md)', '(?m)')}', ' ', 'g')"
-    out = f"' ' || regexp_replace({out}, '{SEPARATORS}', ' ', 'g') || ' '"
+def spelled_sql(text: str) -> str:
+    """spelled() in DuckDB SQL."""
+    out = f"'  ' || regexp_replace({text}, '{SEPARATORS}', '  ', 'g') || '  '"
     for written, kept in SPELLINGS.items():
-        out = f"replace({out}, ' {written} ', ' {kept} ')"
+        out = f"replace({out}, ' {written.replace(' ', '  ')} ', ' {kept.replace(' ', '  ')} ')"
     return f"regexp_replace({out}, ' +', ' ', 'g')"
 
 
-def scan_sql(licences: Mapping[str, str] = NOTICES) -> str:
+def canonical_sql(text: str) -> str:
+    """canonical() in DuckDB SQL."""
+    return spelled_sql(f"regexp_replace(lower(coalesce({text}, '')), '{COPYRIGHT_LINE.replace('(?md)', '(?m)')}', ' ', 'g')")
+
+
+def scan_sql(licences: Mapping[str, str | Sequence[str]] = KNOWN) -> str:
     """scan_licenses() of documents in DuckDB SQL."""
-    values = ", ".join("('{}', '{}')".format(k.replace("'", "''"), v.replace("'", "''")) for k, v in licences.items())
+    given = [(k, t) for k, v in licences.items() for t in ([v] if isinstance(v, str) else v)]
+    values = ", ".join("('{}', '{}')".format(k.replace("'", "''"), t.replace("'", "''")) for k, t in given)
     return f"""
-WITH known AS (SELECT sha256({canonical_sql("t")}) AS digest, min(id) AS license_id FROM (VALUES {values}) AS v(id, t) GROUP BY 1),
+WITH given AS (SELECT * FROM (VALUES {values}) AS v(id, t)),
+known AS (SELECT sha256({canonical_sql("t")}) AS digest, min(id) AS license_id FROM given GROUP BY 1),
+forms AS (SELECT DISTINCT id, {spelled_sql("lower(t)")} AS form FROM given WHERE regexp_matches(t, '[^\\s]\\s*\\n\\s*[^\\s]')),
+long AS (SELECT * FROM forms a WHERE NOT EXISTS (SELECT 1 FROM forms b WHERE b.id = a.id AND b.form <> a.form AND contains(a.form, b.form))),
 d AS (SELECT doc_id, text, sha256({canonical_sql("text")}) AS digest FROM documents),
 lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
-n AS (SELECT doc_id, list_sort(list(DISTINCT license_id)) AS notices FROM lines JOIN known ON known.digest = sha256({canonical_sql("line")}) GROUP BY doc_id)
+spelt AS (SELECT doc_id, {spelled_sql("lower(coalesce(text, ''))")} AS form FROM documents),
+found AS (SELECT doc_id, license_id FROM lines JOIN known ON known.digest = sha256({canonical_sql("line")})
+  UNION SELECT doc_id, id FROM spelt JOIN long ON contains(spelt.form, long.form)),
+n AS (SELECT doc_id, list_sort(list(DISTINCT license_id)) AS notices FROM found GROUP BY doc_id)
 SELECT d.doc_id, d.digest, known.license_id, coalesce(n.notices, CAST([] AS VARCHAR[])) AS notices
 FROM d LEFT JOIN known ON known.digest = d.digest LEFT JOIN n ON n.doc_id = d.doc_id
 """
