@@ -237,6 +237,7 @@ def encode_streams(payloads: list[bytes]) -> list[bytes]:
         for k, f in enumerate(mine):
             points.append((k * BLOCK).to_bytes(8, "big") + at.to_bytes(8, "big") + min(BLOCK, n - k * BLOCK).to_bytes(2, "big"))
             at += len(f)
+        points = points[: ((1 << 24) - 1) // 18]  # as many as a block's length can tell; frames behind them are walked
         table = b"".join(points)
         out.append(b"fLaC" + bytes([0]) + (34).to_bytes(3, "big") + info + bytes([0x83]) + len(table).to_bytes(3, "big") + table + b"".join(mine))
     return out
@@ -513,8 +514,11 @@ def groups(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 def encode(df: DataFrame, payload_col: str, media_col: str = "media") -> DataFrame:
     """df with its binary column payload_col as a FLAC stream in media_col instead. Null stays null; an empty payload is a
-    stream without frames; repeated rows are coded alike. Other columns are kept; media_col must not be one of them."""
+    stream without frames; repeated rows are coded alike. Other columns are kept; a ValueError if media_col is one of
+    them."""
     kept = [c for c in df.columns if c != payload_col]
+    if media_col in kept:
+        raise ValueError(f"there is a column {media_col} already")
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -529,8 +533,11 @@ def encode(df: DataFrame, payload_col: str, media_col: str = "media") -> DataFra
 
 def decode(df: DataFrame, media_col: str = "media", pcm_col: str = "pcm") -> DataFrame:
     """df with pcm_col, the samples of the FLAC streams in media_col (unsigned 8-bit), and feature, a digest of them. Null
-    stays null; a damaged stream fails the job, for its payload could not be whole."""
+    stays null; a damaged stream fails the job, for its payload could not be whole; a ValueError if df has one of these
+    columns already."""
     kept = list(df.columns)
+    if clash := {pcm_col, "feature"} & set(kept):
+        raise ValueError(f"there are columns {sorted(clash)} already")
 
     def played(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -129,18 +129,20 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     tables = Written(spark)
     chosen = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_key"), F.col(label_col).cast("double").alias("_y"), F.xxhash64(F.col(id_col).cast("string")).alias("_h")).orderBy("_h", "_key", "_y").limit(max_fit_rows)
     ids = spark.createDataFrame(chosen.select("_key", "_y").collect(), chosen.select("_key", "_y").schema)
-    sampled = docs.join(F.broadcast(ids), docs[id_col] == F.col("_key"), "left_semi")
-    rows = statistics(sampled, id_col, text_col).join(F.broadcast(ids), F.col("_id") == F.col("_key")).select("_y", *STATISTICS)
+    sampled = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text")).join(F.broadcast(ids.select("_key").distinct()), "_key")
+    rows = statistics(sampled, "_key", "_text").join(F.broadcast(ids), F.col("_id") == F.col("_key")).select("_y", *STATISTICS)
     table = tables.put("statistics", rows.repartition(max(1, max_fit_rows // 5000)))
     total, ones = table.agg(F.count("*"), F.coalesce(F.sum("_y"), F.lit(0.0))).first()
     share = (ones + 0.5) / (total + 1)
     bias = float(np.log(share / (1 - share)))
     if ones in (0, total):
+        tables.drop("statistics")
         return Ensemble(bias, [])
     data = VectorAssembler(inputCols=STATISTICS, outputCol="_x").transform(table).select("_y", "_x", *STATISTICS)
     forest = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird", minInstancesPerNode=5, seed=seed).fit(data)
     rules = sorted({merged(p) for t in forest.trees for p in paths(t.toDebugString)})
     if not rules:
+        tables.drop("statistics")
         return Ensemble(bias, [])
     # a rule and its opposite say the same: one of them is enough
     rules = [r for r in rules if len(r) > 1 or r[0][1]]

@@ -147,8 +147,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """Each row's id and score (double, 0 to 1, higher for label 1); with keep, all columns of docs and _score instead.
     The machine goes with the tasks; its size is bounded by its bits and max_terms. Null text is the empty text, which
-    scores the bias alone; repeated rows give repeated results, an empty table none."""
+    scores the bias alone; repeated rows give repeated results, an empty table none. With keep, a column _score of docs
+    is replaced."""
     name = "_score" if keep else "score"
+    docs = docs.drop("_score") if keep else docs
     kept = docs if keep else docs.select(F.col(id_col), F.col(text_col).alias("_text"))
     text = text_col if keep else "_text"
     model = docs.sparkSession.sparkContext.broadcast(machine)

@@ -48,3 +48,10 @@ def test_cases(spark):
     got = quality.score(docs, quality.learn(docs, labels)).collect()
     assert len(got) == 5 and all(0 <= r["score"] <= 1 for r in got)
     assert quality.score(docs.limit(0), quality.learn(docs.limit(0), labels)).count() == 0
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(i, "good words here . " * (i % 7 + 1) if i % 2 else "| | | x", 1, 1, 1) for i in range(60)], "doc_id long, text string, _key int, _y int, words int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, quality.learn(docs, labels)).collect()}
+    assert all((got[i] >= 0.5) == (i % 2 == 1) for i in range(60))

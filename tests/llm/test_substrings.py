@@ -56,3 +56,16 @@ def test_cases(spark):
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"].encode()) for r in got), key=str) == sorted(brute(rows), key=str)
     assert [r["repeats"] for r in got if r["doc_id"] == 8] == [[(1, 25)]]
     assert substrings.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_windows_are_told_by_their_words(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["a", "b", "c"]) for _ in range(rng.randrange(40)))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"].encode()) for r in substrings.remove_repeats(docs, window=6, value_bits=8).collect())
+    assert got == sorted(brute(rows, 6))
+
+
+def test_kept_names(spark):
+    with pytest.raises(ValueError):
+        substrings.remove_repeats(spark.createDataFrame([(1, "a", "x")], "doc_id long, text string, repeats string"), keep=["repeats"])

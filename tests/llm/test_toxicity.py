@@ -71,3 +71,10 @@ def test_cases(spark):
     assert toxicity.score(docs.limit(0), toxicity.learn(docs, labels.limit(0))).count() == 0
     kept = toxicity.score(docs, machine, keep=True)
     assert kept.columns == ["doc_id", "text", "score", "_score"] and kept.filter(F.col("score") == "x").count() == 4
+
+
+def test_keep_replaces_a_column_of_its_name(spark):
+    docs = spark.createDataFrame([(1, "a", 9.0), (2, None, None)], "doc_id long, text string, _score double")
+    machine = toxicity.fit([])
+    got = toxicity.score(docs, machine, keep=True)
+    assert sorted(got.columns) == ["_score", "doc_id", "text"] and got.filter("_score <= 1").count() == 2
