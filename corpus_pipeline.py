@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studygraph.llm import mixing, near_copies, packing, queries, substrings, toxicity
-from studygraph.llm.shared import Written, table
+from studygraph.llm.shared import Written, clear, live, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -56,11 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written as Parquet and read again."""
+    """All stages over documents; each result is written as Parquet and read again, and what a stage wrote on its way is
+    deleted after it."""
     tables = Written(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
+        before = live()
         docs = tables.put(f"stage{i}", stage(spark, docs, sf_dir))
+        clear(spark, live() - before - {tables.paths[f"stage{i}"]})
         if i:
             tables.drop(f"stage{i - 1}")
     return docs
