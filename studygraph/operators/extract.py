@@ -4,46 +4,15 @@ are matched in lower case; a rule table is an argument, so that other vocabulari
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Rule = tuple[str, str, float]
-
-# Pattern, anchor type, confidence, in order of precedence.
-ANCHORS: tuple[Rule, ...] = (
-    (r"first\s+(?:dose|administration)\s+of\s+(?:study\s+)?(?:drug|medication|treatment|investigational\s+product)", "FirstDose", 0.95),
-    (r"day\s+1\s+(?:of\s+)?(?:cycle\s+1|treatment|dosing)", "FirstDose", 0.90),
-    (r"initiation\s+of\s+(?:study\s+)?treatment", "FirstDose", 0.85),
-    (r"start\s+of\s+(?:study\s+)?(?:treatment|therapy|intervention)", "FirstDose", 0.85),
-    (r"treatment\s+(?:start|initiation|commencement)", "FirstDose", 0.80),
-    (r"day\s+(?:of\s+)?randomization", "Randomization", 0.90),
-    (r"randomization\s+(?:visit|day|date)", "Randomization", 0.90),
-    (r"days?\s+(?:from|after|since)\s+randomization", "Randomization", 0.85),
-    (r"day\s+1\s*[=:]\s*(?:baseline|first\s+visit)", "Day1", 0.85),
-    (r"baseline\s+(?:visit|day|assessment)", "Baseline", 0.80),
-    (r"screening\s+(?:visit|period)", "Screening", 0.80),
-)
-
-# Pattern, kind of repetition, confidence.
-REPETITIONS: tuple[Rule, ...] = (
-    (r"daily\s+(?:urine|blood|sample|collection|measurement|assessment)", "Daily", 0.90),
-    (r"once\s+daily", "Daily", 0.85),
-    (r"every\s+day", "Daily", 0.85),
-    (r"(?:collect|measure|assess)\s+daily", "Daily", 0.85),
-    (r"every\s+[0-9]+\s+(?:hour|day|week|month)s?", "Interval", 0.90),
-    (r"cycles?\s+of\s+[0-9]+\s+(?:day|week)s?", "Cycle", 0.85),
-    (r"[0-9]+-day\s+cycle", "Cycle", 0.85),
-    (r"days?\s+-?[0-9]+\s+(?:to|through)\s+-?[0-9]+", "Window", 0.80),
-)
+from studygraph.operators import rules as R
+from studygraph.operators.rules import ANCHORS, EXECUTION_TYPES, REPETITIONS, Rule
 
-# Pattern, execution type, confidence.
-EXECUTION_TYPES: tuple[Rule, ...] = (
-    (r"continuous|throughout|24-hour", "Window", 0.85),
-    (r"episode|as\s+needed|upon\s+occurrence", "Episode", 0.80),
-    (r"daily|every\s+[0-9]+|weekly|each\s+visit", "Recurring", 0.85),
-    (r"once|single|one\s+time", "Single", 0.80),
-)
+__all__ = ["ANCHORS", "EXECUTION_TYPES", "REPETITIONS", "Rule"]
 
 # Pattern and footnote class in order of precedence; what matches none is general.
 FOOTNOTE_CLASSES: tuple[tuple[str, str], ...] = (
@@ -88,29 +57,81 @@ TRANSITIONS: tuple[tuple[str, str, str], ...] = (
 )
 
 
-def rule_hits(df: DataFrame, text: str, rules: Sequence[Rule]) -> DataFrame:
-    """df with one row for each rule that matches: rule_no (from 1), kind, confidence, n (matches) and first (the first
-    match). The text goes with none of them; each pattern is run once over it."""
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+def lowered(df: DataFrame, text: str, id_: Sequence[str]) -> DataFrame:
+    """(id, _low): the text in lower case, as a column that every pattern reads; null is the empty text. Other columns of
+    df, whatever their names, are not looked at."""
+    return df.select(*id_, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_low"))
+
+
+def first_of(text: Column, patterns: Sequence[str]) -> Column:
+    """The first group of the first pattern that matches, without white space around it; null where none does."""
+    return F.coalesce(*[F.nullif(stripped(F.regexp_extract(text, p, 1)), F.lit("")) for p in patterns])
+
+
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
+def all_of(text: Column, patterns: Sequence[str]) -> Column:
+    """The distinct first groups of all matches of the patterns, in their order."""
+    return F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(p), 1) for p in patterns]))
+
+
+def kind_of(text: Column, found: Sequence[Rule], default: str) -> Column:
+    """The kind of the first rule that matches a text in lower case."""
+    return F.coalesce(*[F.when(text.rlike(p), F.lit(kind)) for p, kind, _ in found], F.lit(default))
+
+
+def rule_hits(df: DataFrame, text: str, rules: Sequence[Rule], id_: Sequence[str] | None = None) -> DataFrame:
+    """One row for each text and rule that matches: id (by default all other columns), rule_no (from 1), kind, confidence,
+    n (matches) and first (the first match). Null is the empty text; an empty table gives no rows."""
+    rest = [c for c in df.columns if c != text] if id_ is None else list(id_)
+    low = F.col("_low")
     hits = F.array(*[
         F.struct(F.lit(i).alias("rule_no"), F.lit(kind).alias("kind"), F.lit(c).alias("confidence"), F.regexp_extract_all(low, F.lit(f"({p})"), 1).alias("found")) for i, (p, kind, c) in enumerate(rules, 1)
     ])
     kept = F.filter(hits, lambda h: F.size(h["found"]) > 0)
-    rest = [c for c in df.columns if c != text]
-    return df.select(*rest, F.explode(kept).alias("_h")).select(*rest, "_h.rule_no", "_h.kind", "_h.confidence", F.size("_h.found").cast("long").alias("n"), F.element_at("_h.found", 1).alias("first"))
+    return lowered(df, text, rest).select(*rest, F.explode(kept).alias("_h")).select(*rest, "_h.rule_no", "_h.kind", "_h.confidence", F.size("_h.found").cast("long").alias("n"), F.element_at("_h.found", 1).alias("first"))
 
 
 def first_per_kind(df: DataFrame, text: str, id_: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
-    """Of each text and kind the first rule that matches."""
-    return rule_hits(df, text, rules).groupBy(*id_, "kind").agg(F.min_by(F.struct("confidence", "first", "n"), "rule_no").alias("_b")).select(*id_, "kind", "_b.confidence", "_b.first", "_b.n")
+    """Of each text and kind the first rule that matches: confidence, first match and number of matches. Each text is looked
+    at by itself, so repeated ids give repeated rows."""
+    low = F.col("_low")
+    hits = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("confidence"), F.regexp_extract_all(low, F.lit(f"({p})"), 1).alias("found")) for p, kind, c in rules])
+    rows = lowered(df, text, id_).withColumn("_hits", F.filter(hits, lambda h: F.size(h["found"]) > 0))
+    kinds = F.transform("_hits", lambda h: h["kind"])
+    leading = F.filter("_hits", lambda h, i: F.array_position(kinds, h["kind"]) == i + 1)
+    return rows.select(*id_, F.explode(leading).alias("_h")).select(*id_, "_h.kind", "_h.confidence", F.element_at("_h.found", 1).alias("first"), F.size("_h.found").cast("long").alias("n"))
+
+
+def anchors(df: DataFrame, text: str, id_: Sequence[str]) -> DataFrame:
+    """The time anchors of each text, one of each type, by the first rule that matches: kind, definition, confidence, day
+    (told in the match or within 100 characters of it, else 1) and first (the match). Null is the empty text."""
+    low = F.col("_low")
+    hits = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("confidence"), F.regexp_extract(low, f"({p})", 1).alias("first")) for p, kind, c in R.ANCHORS])
+    rows = lowered(df, text, id_).withColumn("_hits", F.filter(hits, lambda h: h["first"] != ""))
+    kinds = F.transform("_hits", lambda h: h["kind"])
+    found = rows.select(*id_, "_low", F.explode(F.filter("_hits", lambda h, i: F.array_position(kinds, h["kind"]) == i + 1)).alias("_h")).select(*id_, "_low", "_h.*")
+    at = F.instr(low, F.col("first"))
+    begin = F.greatest(at - 100, F.lit(1))
+    around = F.concat_ws(" ", "first", F.substr(low, begin, at + F.length("first") + 100 - begin))
+    definition = F.coalesce(*[F.when(F.col("kind") == k, F.lit(d)) for k, d in R.ANCHOR_DEFINITIONS.items()], F.col("first"))
+    return found.select(*id_, "kind", definition.alias("definition"), "confidence", F.coalesce(F.regexp_extract(around, r"day\s*(\d+)", 1).try_cast("int"), F.lit(1)).alias("day"), "first")
 
 
 def best_kind(df: DataFrame, text: str, id_: Sequence[str], rules: Sequence[Rule], default: str) -> DataFrame:
-    """Each text's kind with the most matches, then the highest confidence, then the first rule; else the default."""
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    scores = F.array(*[F.struct(F.regexp_count(low, F.lit(p)).alias("n"), F.lit(c).alias("confidence"), F.lit(-i).alias("at"), F.lit(kind).alias("kind")) for i, (p, kind, c) in enumerate(rules)])
-    best = F.array_max(scores)
-    return df.select(*id_, F.when(best["n"] > 0, best["kind"]).otherwise(F.lit(default)).alias("kind"), F.when(best["n"] > 0, best["confidence"]).otherwise(F.lit(0.5)).alias("confidence"))
+    """Each text's kind with the most matches of its rules together, then the highest confidence of those that match, then
+    the first in the order of rules; without a match the default at 0.5."""
+    counts = F.array(*[F.regexp_count("_low", F.lit(p)) for p, _, _ in rules])
+    rows = lowered(df, text, id_).select(*id_, counts.alias("_n"))
+    scores = []
+    for order, kind in enumerate(dict.fromkeys(k for _, k, _ in rules)):
+        mine = [(F.col("_n")[i], c) for i, (_, k, c) in enumerate(rules) if k == kind]
+        confidence = reduce(lambda a, b: F.greatest(a, b), [F.when(n > 0, F.lit(c)).otherwise(F.lit(0.0)) for n, c in mine])
+        scores.append(F.struct(sum((n for n, _ in mine), F.lit(0)).alias("n"), confidence.alias("confidence"), F.lit(-order).alias("at"), F.lit(kind).alias("kind")))
+    rows = rows.select(*id_, F.array_max(F.array(*scores)).alias("_b"))
+    return rows.select(*id_, F.when(F.col("_b.n") > 0, F.col("_b.kind")).otherwise(F.lit(default)).alias("kind"), F.when(F.col("_b.n") > 0, F.col("_b.confidence")).otherwise(F.lit(0.5)).alias("confidence"))
 
 
 def footnotes(text: Column) -> Column:
@@ -161,7 +182,94 @@ def titration(text: Column) -> Column:
 
 
 def is_crossover(text: Column) -> Column:
-    """Whether a text tells of a crossover and not of a titration (two or more of its signs veto)."""
+    """Whether a text tells of a crossover: one of its signs, and fewer than two of a titration or a single arm."""
     low = F.lower(text)
-    signs = sum((F.when(low.rlike(p), 1).otherwise(0) for p in (r"titrat", r"dose\s+escalation", r"dose\s+increase", r"open-label\s+extension", r"single\s+arm")), F.lit(0))
-    return low.rlike(r"cross-?over|sequence\s+ab|washout") & (signs < 2)
+    against = sum((F.when(low.rlike(p), 1).otherwise(0) for p in R.NOT_CROSSOVER), F.lit(0))
+    return reduce(lambda a, b: a | b, [low.rlike(p) for p, _, _ in R.CROSSOVER]) & (against < 2)
+
+
+def crossovers(df: DataFrame, text: str, id_: Sequence[str]) -> DataFrame:
+    """The crossover design of each text that tells of one: confidence and source (of its surest sign), periods (2, unless
+    more are numbered), sequences (told, else all orders of two or three periods), washout (ISO duration, null where none is told),
+    washout_required and carryover (whether it is to be prevented). Null is the empty text."""
+    low = F.col("_low")
+    signs = F.array(*[F.struct(F.lit(c).alias("confidence"), F.lit(-i).alias("at"), F.regexp_extract(low, f"({p})", 1).alias("source")) for i, (p, _, c) in enumerate(R.CROSSOVER)])
+    rows = lowered(df, text, id_).filter(is_crossover(low)).withColumn("_s", F.array_max(F.filter(signs, lambda x: x["source"] != "")))
+    numbered = F.array_max(F.transform(F.regexp_extract_all(low, F.lit(r"period\s+(\d+)"), 1), lambda x: x.try_cast("long")))
+    ways = F.regexp_extract(low, r"(\d+)[\-\s]?(?:period|way)\s+crossover", 1).try_cast("long")
+    rows = rows.withColumn("periods", F.greatest(F.coalesce(ways, F.lit(2)), F.coalesce(numbered, F.lit(0))))
+    told = F.transform(all_of(low, R.SEQUENCES), lambda x: F.upper(x))
+    inferred = F.when(F.col("periods") == 2, F.array(F.lit("AB"), F.lit("BA"))).when(F.col("periods") == 3, F.array(*map(F.lit, ("ABC", "ACB", "BAC", "BCA", "CAB", "CBA")))).otherwise(F.array().cast("array<string>"))
+    unit = [F.when(low.rlike(p), F.concat(F.lit("P"), F.regexp_extract(low, p, 1), F.when(F.contains(F.regexp_extract(low, p, 0), F.lit("week")), "W").otherwise("D"))) for p in R.WASHOUTS]
+    return rows.select(
+        *id_, "_s.confidence", "_s.source", "periods", F.when(F.size(told) > 0, told).otherwise(inferred).alias("sequences"), F.coalesce(*unit).alias("washout"), F.coalesce(*unit).isNotNull().alias("washout_required"),
+        low.rlike(r"(?:prevent|minimize|avoid|reduce)\s+(?:potential\s+)?carry[\-\s]?over").alias("carryover"),
+    )
+
+
+def traversals(df: DataFrame, text: str, id_: Sequence[str]) -> DataFrame:
+    """How subjects go through a study by each text: epochs in order (four standard ones where none is named; END_OF_STUDY
+    last), mandatory visits (Screening first, End of Study always), early_exit (whether it is allowed) and exit_procedures."""
+    low = F.col("_low")
+    named = F.array_compact(F.array(*[F.when(low.rlike(p), F.lit(e)) for e, p in R.EPOCHS]))
+    epochs = F.when(F.size(named) == 0, F.array(*map(F.lit, R.DEFAULT_EPOCHS))).otherwise(F.concat(F.array_remove(named, "END_OF_STUDY"), F.array(F.lit("END_OF_STUDY"))))
+    visits = F.array_compact(F.array(F.lit("Screening"), *[F.when(low.rlike(p), F.lit(v)) for p, v in R.MANDATORY_VISITS], F.lit("End of Study")))
+    early = reduce(lambda a, b: a | b, [low.rlike(p) for p in R.EARLY_EXITS])
+    exits = F.array_compact(F.array(*[F.when(low.rlike(p), F.lit(v)) for p, v in R.EXIT_PROCEDURES]))
+    return lowered(df, text, id_).select(*id_, epochs.alias("epochs"), F.array_distinct(visits).alias("mandatory"), early.alias("early_exit"), exits.alias("exit_procedures"))
+
+
+def sections(df: DataFrame, text: str, id_: Sequence[str], mark: str) -> DataFrame:
+    """(id, section_no, section) of each text, cut before every match of mark; from 1. Sections of fewer than 30 characters
+    are left out but counted."""
+    cut = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), f"({mark})", "\u0001$1"), "\u0001")
+    rows = df.select(*id_, F.posexplode(cut).alias("_at", "section"))
+    return rows.filter(F.length(stripped(F.col("section"))) >= 30).select(*id_, (F.col("_at") + 1).alias("section_no"), "section")
+
+
+ENDPOINT_MARK = r"(?i)(?:primary|secondary|exploratory|safety)\s+(?:efficacy\s+)?(?:endpoint|objective)"
+VARIABLE_MARK = r"\n(?:\d+\.\d+|•|-)\s+"
+
+
+def endpoints(df: DataFrame, text: str, id_: Sequence[str]) -> DataFrame:
+    """The endpoints of each text, one for each section that begins at a type of endpoint or objective (and one for what is before):
+    section_no, kind, confidence, name (up to the first period, at most 100 characters, else the kind and number), inputs
+    (known names and what is to be measured, sorted), time_reference, duration (ISO), algorithm and success (null where
+    not told)."""
+    rows = sections(df, text, id_, ENDPOINT_MARK).withColumn("_low", F.lower("section"))
+    low = F.col("_low")
+    kind = kind_of(low, R.ENDPOINT_TYPES, "Exploratory")
+    sure = F.coalesce(*[F.when(low.rlike(p), F.lit(c)) for p, _, c in R.ENDPOINT_TYPES], F.lit(0.5))
+    name = F.substring(first_of(F.col("section"), [ENDPOINT_MARK + r"[:\s]*([^.]+)"]), 1, 100)
+    known = F.filter(F.array(*map(F.lit, R.ENDPOINT_INPUTS)), lambda x: F.contains(low, F.lower(x)))
+    inputs = F.array_sort(F.array_distinct(F.concat(known, F.regexp_extract_all(low, F.lit(r"(?:measure|assess|evaluate|determine)\s+(?:the\s+)?(\w+(?:\s+\w+)?)"), 1))))
+    change = F.when(F.contains(low, F.lit("change from baseline")), F.nullif(F.regexp_extract(low, r"change\s+from\s+baseline\s+(?:in\s+)?(\w+)", 1), F.lit("")))
+    threshold = r"(>=?|≥|<=?|≤)\s*(\d+(?:\.\d+)?)\s*(\S+)?"
+    section = F.col("section")
+    above = F.when(section.rlike(threshold), F.concat(F.lit("value "), F.replace(F.replace(F.regexp_extract(section, threshold, 1), F.lit("≥"), F.lit(">=")), F.lit("≤"), F.lit("<=")), F.lit(" "), F.regexp_extract(section, threshold, 2), F.regexp_extract(section, threshold, 3)))
+    better = F.when(F.contains(low, F.lit("respon")) & low.rlike("responder|response"), F.nullif(F.regexp_extract(low, r"(\d+)%?\s+(?:or\s+more\s+)?(?:reduction|improvement|decrease)", 1), F.lit("")))
+    parts = F.concat_ws(" AND ", F.concat(change, F.lit("_postbaseline - "), change, F.lit("_baseline")), above, F.concat(F.lit("improvement >= "), better, F.lit("%")))
+    return rows.select(
+        *id_, "section_no", kind.alias("kind"), sure.alias("confidence"), F.coalesce(name, F.concat(kind, F.lit(" Endpoint "), "section_no")).alias("name"), inputs.alias("inputs"), first_of(low, R.TIME_REFERENCES).alias("time_reference"),
+        time_window(low).alias("duration"), F.coalesce(first_of(low, R.ENDPOINT_FORMULAS), F.nullif(parts, F.lit(""))).alias("algorithm"), first_of(low, R.SUCCESS).alias("success"),
+    )
+
+
+def derived_variables(df: DataFrame, text: str, id_: Sequence[str]) -> DataFrame:
+    """The derived variables of each text, one for each numbered or listed section that has a word of them: section_no, kind, confidence, name
+    (at most 80 characters, else its number), sources (known measurements and what it is based on or uses, sorted),
+    baseline, baseline_visit, derivation, analysis_window and imputation (null where not told)."""
+    rows = sections(df, text, id_, VARIABLE_MARK).withColumn("_low", F.lower("section"))
+    low = F.col("_low")
+    rows = rows.filter(reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in R.VARIABLE_WORDS]))
+    kind = kind_of(low, R.VARIABLE_TYPES, "Custom")
+    sure = F.coalesce(*[F.when(low.rlike(p), F.lit(c)) for p, _, c in R.VARIABLE_TYPES], F.lit(0.5))
+    name = F.substring(first_of(F.col("section"), [f"(?i){p}" for p in R.VARIABLE_NAMES]), 1, 80)
+    known = F.filter(F.array(*map(F.lit, R.MEASUREMENTS)), lambda x: F.contains(low, F.lower(x)))
+    sources = F.array_sort(F.array_distinct(F.concat(known, all_of(low, [r"based\s+on\s+(?:the\s+)?(\w+(?:\s+\w+)?)", r"using\s+(?:the\s+)?(\w+(?:\s+\w+)?)"]))))
+    by_kind = F.coalesce(*[F.when(kind == k, F.lit(d)) for k, d in R.DERIVATION_OF_TYPE.items()])
+    return rows.select(
+        *id_, "section_no", kind.alias("kind"), sure.alias("confidence"), F.coalesce(name, F.concat(F.lit("Derived Variable "), "section_no")).alias("name"), sources.alias("sources"), first_of(low, R.BASELINES).alias("baseline"),
+        first_of(low, R.BASELINE_VISITS).alias("baseline_visit"), F.coalesce(first_of(low, R.DERIVATIONS), by_kind).alias("derivation"), first_of(low, R.ANALYSIS_WINDOWS).alias("analysis_window"),
+        F.coalesce(*[F.when(low.rlike(p), F.lit(m)) for p, m in R.IMPUTATIONS]).alias("imputation"),
+    )
