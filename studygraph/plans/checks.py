@@ -16,14 +16,14 @@ from studygraph.registry import query, table
 WITH c AS (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0), p AS (SELECT p_partkey FROM part WHERE p_partkey % 5 <> 0),
 o AS (SELECT s_suppkey FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity > 49.5))
 SELECT 'order' AS entity, o_orderkey AS id, 'o_custkey->c_custkey' AS rule, 'error' AS severity FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM c)
-UNION ALL SELECT 'line', l_orderkey, 'l_partkey->p_partkey', 'warning' FROM lineitem WHERE l_linenumber = 1 AND l_partkey NOT IN (SELECT p_partkey FROM p)
+UNION ALL SELECT 'line', l_orderkey, 'l_partkey->p_partkey', 'warning' FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM p)
 UNION ALL SELECT 'supplier', s_suppkey, 'orphan', 'warning' FROM o WHERE (SELECT count(*) FROM o) < 10
 """)
 def cross_references(spark, sf_dir):
     """Dangling references by severity; orphans only where there are fewer than ten."""
     c, p = table(spark, sf_dir, "customer").filter("c_custkey % 7 <> 0"), table(spark, sf_dir, "part").filter("p_partkey % 5 <> 0")
     orders = validate.dangling(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", c, "c_custkey").select(F.lit("order").alias("entity"), F.col("o_orderkey").alias("id"), "rule", "severity")
-    lines = validate.dangling(table(spark, sf_dir, "lineitem").filter("l_linenumber = 1").select("l_orderkey", "l_partkey"), "l_partkey", p, "p_partkey", "warning").select(F.lit("line").alias("entity"), F.col("l_orderkey").alias("id"), "rule", "severity")
+    lines = validate.dangling(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), "l_partkey", p, "p_partkey", "warning").select(F.lit("line").alias("entity"), F.col("l_orderkey").alias("id"), "rule", "severity")
     lonely = validate.orphans(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey", table(spark, sf_dir, "lineitem").filter("l_quantity > 49.5").select("l_suppkey"), "l_suppkey")
     few = lonely.crossJoin(lonely.agg(F.count("*").alias("n"))).filter("n < 10")  # the count is one row
     return orders.union(lines).union(few.select(F.lit("supplier"), "s_suppkey", F.lit("orphan"), F.lit("warning")))
@@ -40,26 +40,13 @@ def semantic_validity(spark, sf_dir):
 
 
 @query("execution_integrity", """
-WITH e AS (SELECT user_id, event_id, event_type, value, dayofyear(ts) AS day FROM events WHERE event_id % 4 = 0)
-SELECT user_id, 'sign_mismatch' AS fault, count(*) AS n FROM e WHERE value > 90 AND day < 100 GROUP BY user_id
-UNION ALL SELECT user_id, 'duplicate_name', sum(n)::BIGINT FROM (SELECT user_id, event_type, day, count(*) AS n FROM e GROUP BY ALL HAVING count(*) > 1) GROUP BY user_id
-""")
-def execution_integrity(spark, sf_dir):
-    return execution_faults(table(spark, sf_dir, "events").filter("event_id % 4 = 0"))
-
-
-@query("execution_integrity_all", """
 WITH e AS (SELECT user_id, event_id, event_type, value, dayofyear(ts) AS day FROM events)
 SELECT user_id, 'sign_mismatch' AS fault, count(*) AS n FROM e WHERE value > 90 AND day < 100 GROUP BY user_id
 UNION ALL SELECT user_id, 'duplicate_name', sum(n)::BIGINT FROM (SELECT user_id, event_type, day, count(*) AS n FROM e GROUP BY ALL HAVING count(*) > 1) GROUP BY user_id
 """)
-def execution_integrity_all(spark, sf_dir):
-    """execution_integrity of every event."""
-    return execution_faults(table(spark, sf_dir, "events"))
-
-
-def execution_faults(events):
-    e = events.select("user_id", "event_id", "event_type", "value", F.dayofyear("ts").alias("day"))
+def execution_integrity(spark, sf_dir):
+    """Days whose sign does not fit, and names that a day has more than once."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", F.dayofyear("ts").alias("day"))
     sign = e.filter("value > 90 AND day < 100").groupBy("user_id").agg(F.count("*").alias("n")).select("user_id", F.lit("sign_mismatch").alias("fault"), "n")
     same = schedule.conflicts(e, ["user_id", "event_type", "day"], "event_id").groupBy("user_id").agg(F.sum("n").alias("n")).select("user_id", F.lit("duplicate_name").alias("fault"), "n")
     return sign.union(same)

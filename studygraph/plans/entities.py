@@ -32,7 +32,7 @@ def cascade_link(spark, sf_dir):
 
 
 @query("substring_link", """
-WITH d AS (SELECT doc_id, text FROM documents), b AS (SELECT item_id, text AS t FROM benchmark WHERE len(string_split(regexp_replace(lower(text), '\\s+', ' ', 'g'), ' ')) >= 6)
+WITH d AS (SELECT doc_id, text FROM documents), b AS (SELECT item_id, text AS t FROM benchmark)
 SELECT item_id, count(*) AS n, min(doc_id) AS first_doc FROM d JOIN b ON contains(d.text, b.t) GROUP BY item_id
 """)
 def substring_link(spark, sf_dir):
@@ -89,29 +89,13 @@ def term_lookup(spark, sf_dir):
 
 
 @query("jaccard_dedup_pairs", """
-WITH w AS (SELECT doc_id, source, list_distinct(string_split(regexp_replace(lower(trim(text)), '\\s+', ' ', 'g'), ' ')) AS w FROM documents),
-k AS (SELECT doc_id, source, w, list_sort(w)[1:3] AS k FROM w)
-SELECT a.doc_id AS a, b.doc_id AS b, round(len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))), 6) AS similarity
-FROM k a JOIN k b ON a.source = b.source AND a.k = b.k AND a.doc_id < b.doc_id
-WHERE len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) > 0.8
-""")
-def jaccard_dedup_pairs(spark, sf_dir):
-    """Documents of one source with the same three first words in order of the alphabet, and a word Jaccard above 0.8."""
-    w = table(spark, sf_dir, "documents").select("doc_id", "source", F.array_distinct(F.split(F.regexp_replace(F.lower(F.trim("text")), r"\s+", " "), " ")).alias("w"))
-    k = w.withColumn("k", F.slice(F.array_sort("w"), 1, 3))
-    a, b = k.select("source", "k", F.col("doc_id").alias("a"), F.col("w").alias("wa")), k.select("source", "k", F.col("doc_id").alias("b"), F.col("w").alias("wb"))
-    pairs = a.join(b, ["source", "k"]).filter("a < b").withColumn("j", match.jaccard(F.col("wa"), F.col("wb")))
-    return pairs.filter("j > 0.8").select("a", "b", F.round("j", 6).alias("similarity"))
-
-
-@query("jaccard_dedup_pairs_all", """
 WITH w AS (SELECT doc_id, list_sort(list_distinct(string_split(regexp_replace(lower(trim(text)), '\\s+', ' ', 'g'), ' '))) AS w FROM documents WHERE text IS NOT NULL),
-r AS (SELECT min(doc_id) AS rep, w FROM w GROUP BY w)
-SELECT a.rep AS a, b.rep AS b, round(len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))), 6) AS similarity
-FROM r a JOIN r b ON a.rep < b.rep WHERE len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) > 0.8
+r AS (SELECT min(doc_id) AS rep, len(w) AS n, w FROM w GROUP BY w), e AS (SELECT rep, n, unnest(w) AS word FROM r),
+c AS (SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM e a JOIN e b ON a.word = b.word AND a.rep < b.rep WHERE least(a.n, b.n) > 0.8 * greatest(a.n, b.n) GROUP BY a.rep, b.rep)
+SELECT a, b, round(c / (na + nb - c), 6) AS similarity FROM c WHERE c > 0.8 * (na + nb - c)
 UNION ALL SELECT rep, doc_id, 1.0 FROM w JOIN r ON w.w = r.w WHERE doc_id <> rep
 """)
-def jaccard_dedup_pairs_all(spark, sf_dir):
+def jaccard_dedup_pairs(spark, sf_dir):
     """Documents of any source with a word Jaccard above 0.8; of documents with equal words only the first is compared."""
     w = table(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.split(F.regexp_replace(F.lower(F.trim("text")), r"\s+", " "), " ")).alias("w"))
     return match.near_sets(w, "doc_id", "w", 80).select("a", "b", F.round("similarity", 6).alias("similarity"))

@@ -14,13 +14,25 @@ DOSES = ("5 mg once daily", "10-20 mg BID", "0.5 to 1.5 mL IV weekly", "300 IU q
 
 
 def labels(spark: SparkSession, sf_dir: str, values: tuple[str, ...]) -> DataFrame:
-    """Every label with the number of every nation, so that each has several rows."""
+    """Every label with the number of every customer, so that each has several rows; the labels are a fixed list."""
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "pos int, label string")
-    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k")).crossJoin(F.broadcast(rows))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).crossJoin(F.broadcast(rows))
 
 
 def values_sql(values: tuple[str, ...]) -> str:
-    return "(SELECT n_nationkey AS k, pos, label FROM nation CROSS JOIN (VALUES " + ", ".join("({}, '{}')".format(i, v.replace("'", "''")) for i, v in enumerate(values)) + ") AS v(pos, label))"
+    return "(SELECT c_custkey AS k, pos, label FROM customer CROSS JOIN (VALUES " + ", ".join("({}, '{}')".format(i, v.replace("'", "''")) for i, v in enumerate(values)) + ") AS v(pos, label))"
+
+
+def in_documents(spark: SparkSession, sf_dir: str, values: tuple[str, ...]) -> DataFrame:
+    """The whole text of every document, with one of the values as its last lines: k, pos (of the value), label."""
+    pos = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(len(values))).cast("int")
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"), pos.alias("pos"), F.coalesce("text", F.lit("")).alias("text"))
+    return d.select("k", "pos", F.concat("text", F.lit("\n"), F.element_at(F.array(*map(F.lit, values)), F.col("pos") + 1)).alias("label"))
+
+
+def in_documents_sql(values: tuple[str, ...]) -> str:
+    listed = ", ".join("'{}'".format(v.replace("'", "''")) for v in values)
+    return f"(SELECT doc_id AS k, (coalesce(doc_id, 0) % {len(values)})::INTEGER AS pos, coalesce(text, '') || chr(10) || [{listed}][coalesce(doc_id, 0) % {len(values)} + 1] AS label FROM documents)"
 
 
 @query("name_normalize", r"""

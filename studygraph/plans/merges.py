@@ -77,26 +77,14 @@ def enrichment_report(spark, sf_dir):
 
 
 @query("reference_rewrite", """
-WITH r AS (SELECT l_orderkey, 'p' || l_partkey AS old, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS pos FROM lineitem WHERE l_orderkey % 10 = 0)
-SELECT o_orderkey, coalesce((SELECT string_agg('part_' || p_partkey, ',' ORDER BY pos) FROM r JOIN part ON old = 'p' || p_partkey WHERE l_orderkey = o_orderkey AND p_partkey % 3 <> 0), '') AS refs FROM orders WHERE o_orderkey % 10 = 0
-""")
-def reference_rewrite(spark, sf_dir):
-    return rewritten(spark, sf_dir, table(spark, sf_dir, "orders").filter("o_orderkey % 10 = 0"), table(spark, sf_dir, "lineitem").filter("l_orderkey % 10 = 0"))
-
-
-@query("reference_rewrite_all", """
 WITH r AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS pos FROM lineitem),
 s AS (SELECT l_orderkey, string_agg('part_' || p_partkey, ',' ORDER BY pos) AS refs FROM r JOIN part ON p_partkey = l_partkey WHERE p_partkey % 3 <> 0 GROUP BY l_orderkey)
 SELECT o_orderkey, coalesce(refs, '') AS refs FROM orders LEFT JOIN s ON l_orderkey = o_orderkey
 """)
-def reference_rewrite_all(spark, sf_dir):
-    """reference_rewrite of every order."""
-    return rewritten(spark, sf_dir, table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-
-
-def rewritten(spark, sf_dir, orders, lines):
-    held = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))), lambda s: F.concat(F.lit("p"), s["l_partkey"])).alias("refs"))
-    o = orders.select("o_orderkey").join(held, "o_orderkey", "left")
+def reference_rewrite(spark, sf_dir):
+    """References of every order to parts, by their new ids; those that are unknown go."""
+    held = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))), lambda s: F.concat(F.lit("p"), s["l_partkey"])).alias("refs"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey").join(held, "o_orderkey", "left")
     known = table(spark, sf_dir, "part").filter("p_partkey % 3 <> 0").select(F.concat(F.lit("p"), "p_partkey").alias("old"), F.concat(F.lit("part_"), "p_partkey").alias("new"))
     return merge.rewrite_references(o, "o_orderkey", "refs", known, "old", "new").select("o_orderkey", F.array_join("refs", ",").alias("refs"))
 
@@ -123,10 +111,10 @@ _METHODS = "(VALUES ('ANCOVA model'), ('t test'), ('Kaplan Meier'), ('Cox'), ('L
 _PLAIN = "regexp_replace(lower(method), '[\\s-]', '', 'g')"
 
 
-@query("method_operations", f"SELECT n_nationkey, method, CASE {' '.join(f"WHEN contains({_PLAIN}, '{n.replace('-', '')}') OR contains('{n.replace('-', '')}', {_PLAIN}) THEN {k}" for n, k in merge.METHOD_OPERATIONS)} ELSE 2 END AS operations FROM nation CROSS JOIN {_METHODS}")
+@query("method_operations", f"SELECT c_custkey, method, CASE {' '.join(f"WHEN contains({_PLAIN}, '{n.replace('-', '')}') OR contains('{n.replace('-', '')}', {_PLAIN}) THEN {k}" for n, k in merge.METHOD_OPERATIONS)} ELSE 2 END AS operations FROM customer CROSS JOIN {_METHODS}")
 def method_operations(spark, sf_dir):
     m = spark.createDataFrame([(x,) for x in ("ANCOVA model", "t test", "Kaplan Meier", "Cox", "Log-Rank test", "Bayesian", "MMRM", "Fisher exact")], "method string")
-    return table(spark, sf_dir, "nation").select("n_nationkey").crossJoin(F.broadcast(m)).withColumn("operations", merge.method_operations(F.col("method")))
+    return table(spark, sf_dir, "customer").select("c_custkey").crossJoin(F.broadcast(m)).withColumn("operations", merge.method_operations(F.col("method")))
 
 
 @query("distinct_notes")
@@ -153,25 +141,13 @@ def terminology_check(spark, sf_dir):
 
 
 @query("clinical_epoch_type", """
-SELECT user_id, 'Study Period ' || user_id || coalesce(' | ' || CASE WHEN bool_or(event_type = 'signup') THEN 'Screening' WHEN bool_or(event_type = 'purchase') THEN 'Treatment' WHEN bool_or(event_type = 'error') THEN 'Follow-up' END, '') AS name FROM events WHERE event_id % 5 = 0 GROUP BY user_id
+SELECT user_id, 'Study Period ' || user_id || coalesce(' | ' || CASE WHEN bool_or(event_type = 'signup') THEN 'Screening' WHEN bool_or(event_type = 'purchase') THEN 'Treatment' WHEN bool_or(event_type = 'error') THEN 'Follow-up' END, '') AS name FROM events GROUP BY user_id
 """)
 def clinical_epoch_type(spark, sf_dir):
     """Periods named by what their visits are, in order of precedence."""
-    return named_periods(table(spark, sf_dir, "events").filter("event_id % 5 = 0"))
-
-
-@query("clinical_epoch_type_all", """
-SELECT user_id, 'Study Period ' || user_id || coalesce(' | ' || CASE WHEN bool_or(event_type = 'signup') THEN 'Screening' WHEN bool_or(event_type = 'purchase') THEN 'Treatment' WHEN bool_or(event_type = 'error') THEN 'Follow-up' END, '') AS name FROM events GROUP BY user_id
-""")
-def clinical_epoch_type_all(spark, sf_dir):
-    """clinical_epoch_type of every event."""
-    return named_periods(table(spark, sf_dir, "events"))
-
-
-def named_periods(events):
     has = lambda t: F.bool_or(F.col("event_type") == t)
     kind = F.when(has("signup"), "Screening").when(has("purchase"), "Treatment").when(has("error"), "Follow-up")
-    e = events.groupBy("user_id").agg(kind.alias("kind"))
+    e = table(spark, sf_dir, "events").groupBy("user_id").agg(kind.alias("kind"))
     return e.select("user_id", F.concat_ws(" | ", F.concat(F.lit("Study Period "), "user_id"), "kind").alias("name"))
 
 
