@@ -150,3 +150,39 @@ def repaired_json(response: Column, schema: str) -> Column:
     tidy = F.regexp_replace(body, r",\s*([}\]])", "$1")
     single = F.regexp_replace(tidy, "'", '"')
     return F.from_json(F.when(F.try_parse_json(body).isNotNull(), body).when(F.try_parse_json(tidy).isNotNull(), tidy).when(F.try_parse_json(single).isNotNull(), single), schema)
+
+
+def continued_json(base: Column, more: Column) -> Column:
+    """A truncated answer with its continuation: fences around the continuation go, what it repeats of the end (in steps
+    of ten characters, at most 100) is written once, and a comma is put between a value and a new object. Nulls count as
+    empty."""
+    b = F.rtrim(F.coalesce(base, F.lit("")))
+    m = F.ltrim(F.coalesce(more, F.lit("")))
+    m = F.when(F.startswith(m, F.lit("```")), F.regexp_replace(F.regexp_replace(m, r"^[^\n]*\n?", ""), r"\s*```\s*$", "")).otherwise(m)
+    most = F.least(F.lit(100), F.length(b), F.length(m))
+    lengths = F.when(most > 10, F.filter(F.sequence(most, F.least(most, F.lit(11)), F.lit(-10)), lambda n: (n > 10) & F.endswith(b, F.left(m, n)))).otherwise(F.array().cast("array<int>"))
+    last, first = F.right(b, F.lit(1)), F.left(m, F.lit(1))
+    comma = last.rlike('["}0-9]') & (first == "{")
+    return F.when(first.isin("}", "]"), F.concat(b, m)).when(F.size(lengths) > 0, F.concat(b, F.substr(m, F.element_at(lengths, 1) + 1))).when(comma, F.concat(b, F.lit(",\n"), m)).otherwise(F.concat(b, m))
+
+
+def response_fault(response: Column, least: int = 1) -> Column:
+    """What is wrong with the shape of an answer, a JSON object with an array of activities that have an id and a name; null
+    where nothing is. No object at all counts as one without activities."""
+    top = F.coalesce(F.from_json(response, "map<string,string>"), F.create_map().cast("map<string,string>"))
+    raw = F.try_element_at(top, F.lit("activities"))
+    items = F.from_json(raw, "array<string>")
+    parsed = F.transform(items, lambda x: F.from_json(x, "map<string,string>"))
+    wrong = F.filter(F.transform(parsed, lambda x, i: F.when(x.isNull() | ~F.startswith(F.ltrim(items[i]), F.lit("{")), F.concat(F.lit("Activity "), i, F.lit(" is not an object"))).when(~F.map_contains_key(x, "id"), F.concat(F.lit("Activity "), i, F.lit(" missing 'id'"))).when(~F.map_contains_key(x, "name"), F.concat(F.lit("Activity "), i, F.lit(" missing 'name'")))), lambda f: f.isNotNull())
+    nested = F.map_contains_key(top, "study") | F.map_contains_key(top, "studyDesigns") | F.map_contains_key(top, "activityGroups")
+    few = F.concat(F.lit(f"Expected at least {least} activities, got "), F.size(items))
+    return (
+        F.when(~F.map_contains_key(top, "activities") & nested, F.lit("Response has wrong structure")).when(~F.map_contains_key(top, "activities"), F.lit("Missing 'activities' key in response"))
+        .when(raw.isNull() | ~F.startswith(F.ltrim(raw), F.lit("[")), F.lit("'activities' must be an array")).when(F.size(items) < least, few).when(F.size(wrong) > 0, F.element_at(wrong, 1))
+    )
+
+
+def canonical_json(value: Column) -> Column:
+    """JSON text in one form, keys in order and without spaces, so that equal values are equal texts; null where it does
+    not parse."""
+    return F.to_json(F.try_parse_json(value))

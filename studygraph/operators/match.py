@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -24,12 +25,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 def cascade(df: DataFrame, tiers: Sequence[tuple[DataFrame, str, str]], out: str) -> DataFrame:
     """Left joins in order of preference. tiers: (lookup, key in df, value); a lookup has that key once. out is the first
-    value found, tier its number from 1 (null where none)."""
+    value found, tier its number from 1 (null where none; a null key finds nothing). Columns of df named out or tier are
+    replaced, all others are kept."""
+    mark = max(["_", *(c for c in df.columns if c.startswith("_"))], key=len)  # longer than any name of the caller's
     for n, (lookup, key, value) in enumerate(tiers, 1):
-        df = df.join(lookup.select(F.col(key).alias(f"_k{n}"), F.col(value).alias(f"_v{n}")), F.col(key) == F.col(f"_k{n}"), "left")
-    found = [F.col(f"_v{n}") for n in range(1, len(tiers) + 1)]
+        df = df.join(lookup.select(F.col(key).alias(f"{mark}_k{n}"), F.col(value).alias(f"{mark}_v{n}")), F.col(key) == F.col(f"{mark}_k{n}"), "left")
+    found = [F.col(f"{mark}_v{n}") for n in range(1, len(tiers) + 1)]
     tier = F.coalesce(*[F.when(v.isNotNull(), F.lit(n)) for n, v in enumerate(found, 1)])
-    drop = [c for n in range(1, len(tiers) + 1) for c in (f"_k{n}", f"_v{n}")]
+    drop = [c for n in range(1, len(tiers) + 1) for c in (f"{mark}_k{n}", f"{mark}_v{n}")]
     return df.withColumn(out, F.coalesce(*found)).withColumn("tier", tier).drop(*drop)
 
 
@@ -141,21 +144,31 @@ def greedy_match(pairs: DataFrame, group: str, left: str, right: str, score: str
 
 def leader_clusters(df: DataFrame, group: str, order: str, name: str, least: float) -> DataFrame:
     """Clusters by leader: in order, a name joins the first cluster whose leader it resembles (Ratcliff-Obershelp ratio of
-    at least `least`), else it leads a new one. Adds leader, the leader's order. A group meets in one task."""
+    at least `least`), else it leads a new one. Adds leader, the leader's order. Equal names of a group are one, by their
+    smallest order; a null name leads itself. The distinct names of a group meet in one task, rows do not. A column leader of df is replaced."""
+    df = df.drop("leader")
 
     def lead(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        leaders: list[tuple[int, str]] = []
+        rows = rows.sort_values("_order")
+        leaders: list[tuple[int, str, Counter]] = []
         out = []
-        for at, text in zip(rows[order], rows[name], strict=True):
-            hit = next((o for o, t in leaders if t == text or difflib.SequenceMatcher(None, t, text).ratio() >= least), None)
+        for at, text in zip(rows["_order"], rows["_name"], strict=True):
+            letters = Counter(text)
+            hit = None
+            for o, t, held in leaders:
+                needed = least * (len(t) + len(text)) - 1e-9  # twice the characters that the ratio needs in common
+                if 2 * min(len(t), len(text)) >= needed and 2 * (letters & held).total() >= needed and difflib.SequenceMatcher(None, t, text).ratio() >= least:
+                    hit = o
+                    break
             if hit is None:
-                leaders.append((at, text))
+                leaders.append((at, text, letters))
             out.append(at if hit is None else hit)
-        return rows.assign(leader=out)
+        return rows.assign(leader=out)[["_group", "_name", "leader"]]
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-    return df.groupBy(group).applyInPandas(lead, f"{kinds}, leader {df.schema[order].dataType.simpleString()}")
+    kinds = [df.schema[c].dataType.simpleString() for c in (group, name, order)]
+    names = df.filter(F.col(name).isNotNull()).groupBy(F.col(group).alias("_group"), F.col(name).alias("_name")).agg(F.min(order).alias("_order"))
+    led = names.groupBy("_group").applyInPandas(lead, f"_group {kinds[0]}, _name {kinds[1]}, leader {kinds[2]}")
+    return df.join(led, F.col(group).eqNullSafe(F.col("_group")) & (F.col(name) == F.col("_name")), "left").select(*[df[c] for c in df.columns], F.coalesce("leader", df[order]).alias("leader"))
 
 
 def precision_recall(df: DataFrame, groups: Sequence[str], golden: Column, found: Column) -> DataFrame:

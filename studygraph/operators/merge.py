@@ -111,7 +111,7 @@ def method_operations(method: Column) -> Column:
 
 def distinct_notes(df: DataFrame, group: str, order: str, note: str, least: float = 0.8) -> DataFrame:
     """Notes that repeat no earlier one of their group: none holds the other, and their words' Jaccard similarity is at most
-    `least`. It depends on the order, so a group (a document's notes) meets in one task."""
+    `least`. It depends on the order, so a group (a document's notes) meets in one task. A null note is none and goes."""
     def kept(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(order)
         held: list[tuple[str, set[str]]] = []
@@ -125,7 +125,7 @@ def distinct_notes(df: DataFrame, group: str, order: str, note: str, least: floa
                 held.append((low, words))
         return rows[keep]
 
-    return df.groupBy(group).applyInPandas(kept, df.schema)
+    return df.filter(F.col(note).isNotNull()).groupBy(group).applyInPandas(kept, df.schema)
 
 
 def catalogue_issues(df: DataFrame, id_: str, catalogue: Sequence[tuple[str, str]]) -> DataFrame:

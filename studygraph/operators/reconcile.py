@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, MapType, StructType
 
 
 def contribute(df: DataFrame, source: str, priority: int, order: str) -> DataFrame:
@@ -15,7 +16,8 @@ def contribute(df: DataFrame, source: str, priority: int, order: str) -> DataFra
 
 def merged(column: str, policy: str) -> Column:
     """The aggregate that merges a column of a cluster. first: the non-null value of the highest priority, ties by
-    position, then value; seen: the first by position, then priority number; any, all: booleans; union: sorted distinct values of an array; set: of a scalar."""
+    position, then value; seen: the first by position, then priority number; any, all: booleans; union: sorted distinct values of an array; set: of a scalar; map: the entries of all maps, of a key
+    that several have that of the lowest priority, then of the last source and position (null maps are left out)."""
     if policy == "first":
         best = F.struct((-F.col("priority")).alias("p"), F.col("source").alias("s"), F.col("pos").alias("o"), F.col(column).alias("v"))
         return F.min_by(column, F.when(F.col(column).isNotNull(), best))
@@ -25,6 +27,11 @@ def merged(column: str, policy: str) -> Column:
         return F.bool_or(column) if policy == "any" else F.bool_and(column)
     if policy == "union":
         return F.array_sort(F.array_distinct(F.flatten(F.collect_set(column))))
+    if policy == "map":
+        last = F.struct((-F.col("priority")).alias("p"), F.col("source").alias("s"), F.col("pos").alias("o"), F.map_entries(column).alias("m"))
+        held = F.transform(F.array_sort(F.collect_list(F.when(F.col(column).isNotNull(), last))), lambda x: F.map_from_entries(x["m"]))
+        none = F.get(held, F.lit(0))
+        return F.coalesce(F.aggregate(held, F.map_filter(none, lambda k, v: F.lit(False)), lambda a, x: F.map_concat(F.map_filter(a, lambda k, v: ~F.map_contains_key(x, k)), x)), none)
     if policy == "set":
         return F.array_sort(F.collect_set(column))
     raise ValueError(f"no policy {policy}")
@@ -66,3 +73,24 @@ def fall_back(current: DataFrame, previous: DataFrame, keys: Sequence[str], colu
     """The current rows, with values that are missing there taken from the previous run."""
     old = previous.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in columns])
     return current.join(old, list(keys), "left").select(*keys, *[F.coalesce(c, f"_old_{c}").alias(c) for c in columns])
+
+
+def deep_merged(base: Column, override: Column, kind: DataType) -> Column:
+    """Two values of one type merged: structs field by field, maps entry by entry (values of the override first), and
+    everything else replaced where the override has a value. Arrays are replaced whole."""
+    if isinstance(kind, StructType):
+        fields = [deep_merged(base[f.name], override[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(base.isNull(), override).when(override.isNull(), base).otherwise(F.struct(*fields))
+    if isinstance(kind, MapType):
+        return F.when(base.isNull(), override).when(override.isNull(), base).otherwise(F.map_concat(F.map_filter(base, lambda k, v: ~F.map_contains_key(override, k)), override))
+    return F.coalesce(override, base)
+
+
+def contribute_traversal(epochs: DataFrame, group: str, id_: str, order: str, sequence: str) -> DataFrame:
+    """The epochs that a group's sequence (array<string>, the same on each of its rows) names, by id or as epoch_1, epoch_2 ...
+    in order, with category 'main' and sequence_order, their place in it. An epoch named twice comes twice; names
+    of no epoch, and null sequences, give none. The other columns are kept."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(order))
+    numbered = epochs.withColumn("_index", F.concat(F.lit("epoch_"), rank))
+    hit = F.filter(F.transform(F.col(sequence), lambda x, i: F.when((x == F.col("_index")) | (x == F.col(id_).cast("string")), i + 1)), lambda x: x.isNotNull())
+    return numbered.select(*epochs.columns, F.explode(hit).alias("sequence_order")).withColumn("category", F.lit("main"))

@@ -51,7 +51,10 @@ def expand_recurrence(df: DataFrame, start: Column, end: Column, step: Column, o
 
 
 def conflicts(df: DataFrame, keys: Sequence[str], id_: str) -> DataFrame:
-    """Keys that more than one row has: how many, and the smallest id."""
+    """Keys that more than one row has: n, how many, and first_id, the smallest id. Null keys count as equal; a ValueError
+    if a key has one of these names."""
+    if clash := {"n", "first_id"} & set(keys):
+        raise ValueError(f"keys with names made here: {sorted(clash)}")
     return df.groupBy(*keys).agg(F.count("*").alias("n"), F.min(id_).alias("first_id")).filter("n > 1")
 
 

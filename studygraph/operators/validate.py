@@ -43,3 +43,42 @@ def field_population(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 
     counts = df.agg(F.count("*").alias("total"), *[there(c).alias(c) for c in fields])
     return counts.unpivot(["total"], list(fields), "field", "populated").select("field", "populated", "total", F.round(F.col("populated") / F.col("total"), 6).alias("share"))
+
+
+# Rules of a study's structure, whether each is an error or a warning, and what it asks for.
+CONFORMANCE = (
+    ("USDM001", "ERROR", "study"),
+    ("USDM002", "ERROR", "versions"),
+    ("USDM010", "WARNING", "titles"),
+    ("USDM011", "WARNING", "studyIdentifiers"),
+    ("USDM020", "WARNING", "studyDesigns"),
+    ("USDM030", "WARNING", "scheduleTimelines"),
+    ("USDM031", "WARNING", "eligibilityCriteria"),
+    ("USDM032", "WARNING", "objectives"),
+)
+
+
+def study_conformance(df: DataFrame, id_: str, study: str) -> DataFrame:
+    """(id, rule, severity, version, design) of what each study lacks, by the structure rules. study: a struct of versions,
+    each with titles, studyIdentifiers and studyDesigns, each with scheduleTimelines, eligibilityCriteria and objectives (all
+    arrays). Null and empty arrays both count as missing; version and design are positions from 0, null above them."""
+    def lacks(x: Column) -> Column:
+        return F.coalesce(F.size(x), F.lit(0)) <= 0
+
+    def fault(rule: str, when: Column, version: Column, design: Column) -> Column:
+        severity = next(s for r, s, _ in CONFORMANCE if r == rule)
+        return F.when(when, F.struct(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), version.cast("int").alias("version"), design.cast("int").alias("design")))
+
+    none = F.lit(None)
+    versions = F.coalesce(F.col(f"{study}.versions"), F.array())
+
+    def of_design(d: Column, j: Column, i: Column) -> Column:
+        return F.array(*[fault(r, lacks(d[name]), i, j) for r, _, name in CONFORMANCE if r >= "USDM030"])
+
+    def of_version(v: Column, i: Column) -> Column:
+        own = F.array(*[fault(r, lacks(v[name]), i, none) for r, _, name in CONFORMANCE if "USDM010" <= r < "USDM030"])
+        designs = F.coalesce(F.flatten(F.transform(v["studyDesigns"], lambda d, j: of_design(d, j, i))), F.array().cast("array<struct<rule:string,severity:string,version:int,design:int>>"))
+        return F.concat(own, designs)
+
+    found = F.concat(F.array(fault("USDM001", F.col(study).isNull(), none, none), fault("USDM002", lacks(F.col(f"{study}.versions")), none, none)), F.flatten(F.transform(versions, of_version)))
+    return df.select(id_, F.explode(F.array_compact(found)).alias("_f")).select(id_, "_f.rule", "_f.severity", "_f.version", "_f.design")
