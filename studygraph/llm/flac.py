@@ -20,7 +20,7 @@ from studygraph.llm import arrays
 BLOCK = 1152
 RATE = 8000
 #: Bytes of samples, or of streams, that are worked on together.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 _ORDER, _PRECISION = 8, 10
 
 
@@ -116,16 +116,18 @@ def residuals(x: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Residuals (frames, size) of fixed orders 0 to 4 and of linear prediction, zero where a warm-up sample stands; and
     the predictors."""
     out = [x]
-    for order in range(1, 5):
+    for order in range(1, 5):  # each is the difference of the one before
         r = np.zeros_like(x)
-        r[:, order:] = np.diff(x, order, axis=1)
+        np.subtract(out[-1][:, order:], out[-1][:, order - 1 : -1], out=r[:, order:])
         out.append(r)
     coefficients, shift = linear_predictors(x)
     r = np.zeros_like(x)
-    total = np.zeros((len(x), x.shape[1] - _ORDER), np.int64)
+    total = np.zeros((len(x), x.shape[1] - _ORDER), np.int32)
+    narrow = coefficients.astype(np.int32)  # 10 bits by 8 bits, eight times
     for j in range(_ORDER):
-        total += coefficients[:, j : j + 1] * x[:, _ORDER - 1 - j : x.shape[1] - 1 - j]
-    r[:, _ORDER:] = x[:, _ORDER:] - (total >> shift[:, None])
+        total += narrow[:, j : j + 1] * x[:, _ORDER - 1 - j : x.shape[1] - 1 - j]
+    total >>= shift[:, None].astype(np.int32)
+    np.subtract(x[:, _ORDER:], total, out=r[:, _ORDER:])
     return [*out, r], coefficients, shift
 
 
@@ -145,17 +147,17 @@ class BitWriter:
 def encode_frames(x: np.ndarray) -> list[bytes]:
     """Subframes (byte-aligned, without header and CRC) of samples (frames, size) from -128 to 127."""
     frames, size = x.shape
-    x = x.astype(np.int64)
+    x = x.astype(np.int32)
     made, coefficients, shift = residuals(x)
     orders = [0, 1, 2, 3, 4, _ORDER]
     costs, params = [], []
     for order, r in zip(orders, made, strict=True):
-        u = np.where(r >= 0, 2 * r, -2 * r - 1)
+        u = (r << 1) ^ (r >> 31)
         mean = u[:, order:].sum(1) / (size - order)
         guess = np.clip(np.floor(np.log2(np.maximum(mean * 0.6931, 1e-9))).astype(np.int64) + 1, 0, 14)
         best, param = None, guess
         for k in (np.maximum(guess - 1, 0), guess):
-            bits = ((u >> k[:, None])[:, order:]).sum(1) + (size - order) * (1 + k)
+            bits = (u[:, order:] >> k[:, None].astype(np.int32)).sum(1) + (size - order) * (1 + k)
             param = k if best is None else np.where(bits < best, k, param)
             best = bits if best is None else np.minimum(best, bits)
         costs.append(8 + 8 * order + 10 + best + (9 + _PRECISION * _ORDER if order == _ORDER else 0))
@@ -187,16 +189,20 @@ def encode_frames(x: np.ndarray) -> list[bytes]:
         k = params[c][rows]
         w.put(rows, k, 4)
         r = made[c][rows, order:]
-        u = np.where(r >= 0, 2 * r, -2 * r - 1)
-        q = u >> k[:, None]
-        ends = w.at[rows][:, None] + np.cumsum(q + 1 + k[:, None], axis=1)
-        stop = ends - k[:, None] - 1
+        u = (r << 1) ^ (r >> 31)
+        wide = k[:, None].astype(np.int32)
+        ends = np.cumsum((u >> wide) + (1 + wide), axis=1, dtype=np.int64)
+        ends += w.at[rows][:, None]
         flat = w.bits.reshape(-1)
-        base = rows[:, None] * w.bits.shape[1]
-        flat[base + stop] = 1
+        stop = ends + (rows * w.bits.shape[1] - k - 1)[:, None]
+        flat[stop] = 1
+        low = u & ((1 << wide) - 1)
         for b in range(int(k.max())):
-            some = k > b
-            flat[(base + stop + 1 + b)[some]] = (u[some] >> (k[some, None] - 1 - b)) & 1
+            some = np.flatnonzero(k > b)
+            if len(some) == len(rows):
+                flat[stop + (1 + b)] = (low >> (wide - 1 - b)) & 1
+            else:
+                flat[stop[some] + (1 + b)] = (low[some] >> (wide[some] - 1 - b)) & 1
         w.at[rows] = ends[:, -1]
     packed = np.packbits(w.bits, axis=1)
     return [packed[i, : (n + 7) // 8].tobytes() for i, n in enumerate(w.at.tolist())]
@@ -288,22 +294,56 @@ def parse_header(data: bytes, at: int) -> tuple[int, int]:
     return size, at + 1
 
 
+#: Zeros before the first bit that is set in 16 bits.
+_ZEROS = np.full(1 << 16, 16, np.int64)
+for _n in range(16):
+    _ZEROS[1 << (15 - _n) : 1 << (16 - _n)] = _n
+
+
 class BitReader:
     """Reads fields of bits at many places of one array of bytes at once."""
 
     def __init__(self, data: np.ndarray) -> None:
+        self.size = 8 * len(data)
         padded = np.concatenate([data, np.zeros(16, np.uint8)])
-        ones = np.flatnonzero(np.unpackbits(padded)).astype(np.int64)
-        if not len(ones) or ones[-1] < 8 * len(data):
-            ones = np.append(ones, 8 * len(padded) - 1)
-        gaps = np.diff(np.concatenate(([-1], ones)))
-        self.next = np.repeat(ones, gaps).astype(np.int32)
-        wide = padded.astype(np.uint64)
-        self.words = wide[:-7] << np.uint64(32) | wide[1:-6] << np.uint64(24) | wide[2:-5] << np.uint64(16) | wide[3:-4] << np.uint64(8) | wide[4:-3]
+        words = padded[:-7].astype(np.int64)
+        for i in range(1, 5):
+            words <<= 8
+            words |= padded[i : len(padded) - 7 + i]
+        self.words = words
+
+    def window(self, at: np.ndarray) -> np.ndarray:
+        """The 33 bits or more that follow bit places, from bit 39 down."""
+        return (self.words[at >> 3] << (at & 7)) & ((1 << 40) - 1)
 
     def take(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Unsigned fields of n bits (up to 32) at bit places."""
-        return ((self.words[at >> 3] << (at & 7).astype(np.uint64) & np.uint64((1 << 40) - 1)) >> (40 - n).astype(np.uint64)).astype(np.int64)
+        return self.window(at) >> (40 - n)
+
+    def next(self, at: np.ndarray) -> np.ndarray:
+        """The place of the first bit that is set from each place on. Raises Damaged where there is none."""
+        out = at.copy()
+        todo = np.arange(len(at))
+        while len(todo):
+            n = _ZEROS[self.window(out[todo]) >> 24]
+            out[todo] += n
+            todo = todo[n == 16]
+            if len(todo) and int(out[todo].max()) > self.size:
+                raise Damaged("a frame goes beyond its stream")
+        return out
+
+    def rice(self, at: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unsigned Rice codes with k low bits (up to 14 at once) at bit places, and where they end."""
+        word = self.window(at)
+        zeros = _ZEROS[word >> 24]
+        value = zeros << k | (word >> (39 - zeros - k)) & ((1 << k) - 1)
+        end = at + zeros + 1 + k
+        long = np.flatnonzero((zeros == 16) | (k > 14))
+        if len(long):
+            stop = self.next(at[long])
+            value[long] = (stop - at[long]) << k[long] | self.take(stop + 1, k[long])
+            end[long] = stop + 1 + k[long]
+        return value, end
 
     def signed(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         x = self.take(at, n)
@@ -318,7 +358,7 @@ def decode_frames(read: BitReader, at: np.ndarray, size: int) -> tuple[np.ndarra
     wasted = np.zeros(frames, np.int64)
     has = np.flatnonzero(kind & 1)
     if len(has):
-        stop = read.next[at[has]]
+        stop = read.next(at[has])
         wasted[has], at[has] = stop - at[has] + 1, stop + 1
     kind = kind >> 1
     depth = 8 - wasted
@@ -371,9 +411,7 @@ def with_residuals(read: BitReader, x: np.ndarray, at: np.ndarray, order: np.nda
     any_escape = False
     for i in range(int(order.min()), size):
         if one and i > warm and i % one and not any_escape:  # all frames are within a partition
-            stop = read.next[at]
-            u = (stop - at) << k | read.take(stop + 1, k)
-            at = stop + 1 + k
+            u, at = read.rice(at, k)
             out[i] = (u >> 1) ^ -(u & 1)
             continue
         some = np.flatnonzero(((i % each == 0) | (i == order)) & (i >= order))
@@ -388,9 +426,7 @@ def with_residuals(read: BitReader, x: np.ndarray, at: np.ndarray, order: np.nda
                 k[escape] = 0
             any_escape = bool(escaped.any())
         live = np.flatnonzero((i >= order) & (escaped == 0))
-        stop = read.next[at[live]]
-        u = (stop - at[live]) << k[live] | read.take(stop + 1, k[live])
-        at[live] = stop + 1 + k[live]
+        u, at[live] = read.rice(at[live], k[live])
         out[i, live] = (u >> 1) ^ -(u & 1)
         raw = np.flatnonzero((i >= order) & (escaped > 0))
         if len(raw):
