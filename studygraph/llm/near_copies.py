@@ -7,7 +7,11 @@ alignment can reach, then by the alignment itself, in a band as wide as the thre
 documents to classes.
 
 Copies of one text are one node throughout. Documents that share a key are compared where they meet, in blocks of bounded
-size, without writing a pair down that is not a link, and links inside one block only as far as they join classes."""
+size, without writing a pair down that is not a link, and links inside one block only as far as they join classes.
+
+A group that fills several blocks is first compared with a few leaders of its own. Most of its documents are then of one
+class, and pairs within a class need no link; so only documents outside the group's largest class are compared with the
+whole group. A group of n near copies thus costs about n comparisons, not n squared, and no link between classes is lost."""
 
 from __future__ import annotations
 
@@ -15,13 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studygraph.llm import arrays
 from studygraph.llm.components import connected_components
 from studygraph.llm.shared import Written
 
+#: Documents of a large group that all others of it are compared with first, about.
+LEADERS = 16
+
 
 def sketch(kmers: np.ndarray, keys: int, kept: int, seed: int = 1) -> np.ndarray:
     """The order MinHash keys of one sequence of labelled k-mers: for each seed, the hash of the `kept` k-mers with the
@@ -163,9 +170,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = (
         member.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s1"), F.min("id").alias("s2"), F.sum("terms").alias("terms"))
         .filter("n > 1").groupBy("n", "s1", "s2", "terms").agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.greatest(F.col("n") / block, F.col("terms") / block_terms)).cast("int").alias("blocks"))
+        .select("key", "n", F.ceil(F.greatest(F.col("n") / block, F.col("terms") / block_terms)).cast("int").alias("blocks"))
     )
-    grouped = tables.put("grouped", member.join(groups, "key").select("key", "id", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("b")))
+    grouped = tables.put("grouped", member.join(groups, "key").select("key", "id", member["terms"], "n", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("b")))
     tables.drop("members")
 
     def termed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,10 +186,6 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = grouped.select("id").distinct().hint("merge")  # one plan at every size: ids are never broadcast
     termed_rows = tables.put("terms", texts.join(wanted, "id").mapInArrow(termed, "id long, terms binary"))
 
-    spread = grouped.select("key", "id", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-    placed = spread.select("key", "id", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"))
-    blocks = placed.join(termed_rows, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held = None, []
         for batch in batches:
@@ -200,8 +203,31 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         out = links_of(np.array([d for d, _, _ in held]), np.array([s for _, s, _ in held]), sequences, similarity)
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
 
-    links = tables.put("links", blocks.mapInArrow(linked, "a long, b long"))
+    def links_in(placed: DataFrame) -> DataFrame:
+        """Links within the blocks (key, i, j), or across their two sides."""
+        blocks = placed.join(termed_rows, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+        return blocks.mapInArrow(linked, "a long, b long")
+
+    def each(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    zero = F.lit(0)
+    large = grouped.filter("blocks > 1")
+    leads = large.filter(F.pmod(F.xxhash64("id", "key"), F.col("n")) < LEADERS).select("key", "id", each("blocks").alias("i"), zero.alias("j"), zero.alias("side"))
+    led = large.select("key", "id", F.col("b").alias("i"), zero.alias("j"), F.lit(1).alias("side"))
+    links = tables.put("links", links_in(grouped.filter("blocks = 1").select("key", "id", zero.alias("i"), zero.alias("j"), zero.alias("side")).union(leads).union(led)))
+    edges, written = links, ["links"]
+    if large.limit(1).count():
+        so_far = tables.put("so_far", connected_components(links))
+        held = large.join(so_far, F.col("id") == F.col("node"), "left").select("key", "id", "terms", "blocks", "b", F.coalesce("component", "id").alias("class"))
+        main = held.groupBy("key", "class").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("class", F.struct("n", -F.col("class"))).alias("main"))
+        rest = tables.put("rest", held.join(main, "key").filter("class <> main").select("key", "id", "terms", "blocks"))
+        asked = rest.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("terms") / block_terms)).cast("int").alias("asks"))
+        asking = rest.join(asked, "key").select("key", "id", F.pmod(F.xxhash64("id"), F.col("asks")).cast("int").alias("i"), each("blocks").alias("j"), zero.alias("side"))
+        answering = large.join(asked, "key").select("key", "id", each("asks").alias("i"), F.col("b").alias("j"), F.lit(1).alias("side"))
+        more = tables.put("more", links_in(asking.union(answering)))
+        edges, written = so_far.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), [*written, "so_far", "rest", "more"]
     tables.drop("grouped", "terms")
-    classes = tables.put("classes", connected_components(links.union(copies)))
-    tables.drop("links", "sketches")
+    classes = tables.put("classes", connected_components(edges.union(copies)))
+    tables.drop("sketches", *written)
     return rows.select("id").join(classes, F.col("id") == F.col("node"), "left").select(F.col("id").alias(id_col), F.coalesce("component", "id").alias("class_id"), (F.coalesce("component", "id") == F.col("id")).alias("kept"))

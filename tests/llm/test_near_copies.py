@@ -95,6 +95,24 @@ def test_one_large_group(spark):
         assert sum(got[i] != want[i] for i in got) <= 2 and all(want[got[i]] == want[i] for i in got)
 
 
+def test_classes_within_a_large_group_are_joined(spark):
+    rng = random.Random(8)
+    head = [f"h{i}" for i in range(40)]
+    rows, bases = [], [head + [f"v{k}x{i}" for i in range(60)] for k in range(6)]
+    for i in range(150):
+        t = list(bases[i % 6])
+        for _ in range(rng.randrange(4)):
+            t[rng.randrange(len(t))] = f"z{rng.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    half = bases[0][:70] + bases[1][70:]
+    rows += [(200 + k, " ".join(half[: 70 + k] + bases[0][70 + k :])) for k in range(0, 31, 5)]  # a path from one class to another
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    for block in (512, 12):
+        got = {r["doc_id"]: r["class_id"] for r in near_copies.near_copies(docs, block=block, keys=40).collect()}
+        assert got == want
+
+
 def test_alignment_is_the_longest_common_subsequence():
     rng = np.random.default_rng(4)
     for _ in range(300):
