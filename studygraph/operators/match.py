@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import difflib
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -142,6 +142,28 @@ def greedy_match(pairs: DataFrame, group: str, left: str, right: str, score: str
     return pairs.select(group, left, right, score).groupBy(group).applyInPandas(matched, kinds)
 
 
+def best_candidates(golden: DataFrame, found: DataFrame, group: str, order: str, text: str, similarity: Callable[[str | None, str | None], float]) -> DataFrame:
+    """(group, order, match, score): each golden row of a group in its order takes the most similar found row that no
+    earlier one has taken, the first of equals; match is that row's order, null with score 0 where none is similar at
+    all. Rows of one order are taken by text. A group is the entities of one kind in one document, and meets in one task. Groups without
+    golden rows give none; null groups are one group."""
+    kind, place = golden.schema[group].dataType.simpleString(), golden.schema[order].dataType.simpleString()
+
+    def matched(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        free = right.sort_values([order, text])[[order, text]].values.tolist()
+        out = []
+        for row in left.sort_values([order, text]).itertuples(index=False):
+            best, at = 0.0, None
+            for i, (_, other) in enumerate(free):
+                if (s := similarity(getattr(row, text), other)) > best:
+                    best, at = s, i
+            out.append((getattr(row, group), getattr(row, order), None if at is None else free.pop(at)[0], best))
+        return pd.DataFrame(out, columns=[group, order, "match", "score"]).astype({"match": "object"})
+
+    columns = [group, order, text]
+    return golden.select(columns).groupBy(group).cogroup(found.select(columns).groupBy(group)).applyInPandas(matched, f"{group} {kind}, {order} {place}, match {place}, score double")
+
+
 def leader_clusters(df: DataFrame, group: str, order: str, name: str, least: float) -> DataFrame:
     """Clusters by leader: in order, a name joins the first cluster whose leader it resembles (Ratcliff-Obershelp ratio of
     at least `least`), else it leads a new one. Adds leader, the leader's order. Equal names of a group are one, by their

@@ -54,7 +54,8 @@ def main_fallback(df: DataFrame, group: str, order: Sequence[str], flag: str) ->
 
 
 def merge_provenance(tags: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One tag per key: its source, or 'both' where sources differ. In any order and any number of times the same."""
+    """One tag per key: its source, or 'both' where sources differ (a merged 'both' stays). In any order and any number of
+    times the same."""
     return tags.groupBy(*keys).agg(F.when(F.min("source") == F.max("source"), F.min("source")).otherwise(F.lit("both")).alias("source"))
 
 

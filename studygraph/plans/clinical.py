@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from studygraph.functions import text as T
-from studygraph.operators import clinical
+from studygraph.operators import clinical, match
 from studygraph.plans.labels import VISITS, labels, values_sql
 from studygraph.registry import query, table
 
@@ -71,6 +71,13 @@ def golden_similarity(spark, sf_dir):
     return p.filter("next_id IS NOT NULL").select("p_partkey", F.round(clinical.similarity("p_name", "next_id"), 6).alias("similarity"))
 
 
+@query("golden_match")
+def golden_match(spark, sf_dir):
+    """Each conversation's turns of its user, as golden entities, with the most similar free turn of the others."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return match.best_candidates(c.filter("role = 'user'"), c.filter("role <> 'user'"), "conv_id", "turn", "text", clinical.base_similarity).withColumn("score", F.round("score", 6))
+
+
 @query("encounter_reconcile")
 def encounter_reconcile(spark, sf_dir):
     """Labels of visits from two sources, reconciled in each nation's document."""

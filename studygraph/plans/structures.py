@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from studygraph.functions import text as T
 from studygraph.operators import reconcile, validate
-from studygraph.registry import query, table
+from studygraph.plans.entities import _TAGS
+from studygraph.registry import query, scratch, table
+from studygraph.streaming.provenance import stored_stream
 
 _ANSWER = """'{"user": ' || user_id || ', "type": "' || event_type || '", "props": ' || props || '}'"""
 
@@ -109,3 +111,13 @@ def traversal_contribution(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
     last = orders.groupBy("o_custkey").agg(F.array(F.lit("epoch_2"), F.max("o_orderkey").cast("string"), F.lit("epoch_9999"), F.lit("epoch_1")).alias("sequence"))
     return reconcile.contribute_traversal(orders.join(last, "o_custkey"), "o_custkey", "o_orderkey", "o_orderkey", "sequence").select("o_custkey", "o_orderkey", "sequence_order", "category")
+
+
+@query("stream_provenance", f"SELECT user_id, event_type, CASE WHEN count(DISTINCT source) > 1 THEN 'both' ELSE min(source) END AS source FROM {_TAGS} GROUP BY ALL")
+def stream_provenance(spark, sf_dir):
+    """provenance_merge from a stream over the events."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parque[t]")
+    source = F.when(F.col("event_id") % 3 == 0, F.lit("vision")).otherwise(F.lit("text"))
+    folder = scratch(spark, "stream")
+    return stored_stream(stream.select("user_id", "event_type", source.alias("source")), ["user_id", "event_type"], f"{folder}/merged", f"{folder}/checkpoint")

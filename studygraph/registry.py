@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all machines share, spark.checkpoint.dir; only a single machine may lack it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        shared = "file://" + tempfile.mkdtemp(prefix="studygraph-")
+    return f"{shared.rstrip('/')}/studygraph-{name}-{uuid.uuid4().hex}"
+
+
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     """Registers a function (spark, sf_dir) -> DataFrame under a name, with the SQL that gives the same rows."""
 

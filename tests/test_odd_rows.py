@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from studygraph.functions import text as T
 from studygraph.operators import match, merge, pages, reconcile, schedule, validate
+from studygraph.streaming.provenance import stored_stream
 
 
 def test_cascade(spark):
@@ -93,3 +94,23 @@ def test_answers(spark):
     assert [r["f"] for r in df.select(T.response_fault(F.col("s")).alias("f")).collect()] == [f for _, f in shapes]
     df = spark.createDataFrame([('{"b": 1, "a": [2, {"d": 1, "c": null}]}',), ('{"a":[2,{"c":null,"d":1}],"b":1}',), ("{",), (None,)], "s string")
     assert [r["c"] for r in df.select(T.canonical_json(F.col("s")).alias("c")).collect()] == ['{"a":[2,{"c":null,"d":1}],"b":1}'] * 2 + [None, None]
+
+
+def test_best_candidates(spark):
+    same = lambda a, b: 0.0 if a is None or b is None else len(set(a) & set(b)) / max(1, len(set(a) | set(b)))
+    golden = spark.createDataFrame([(1, 1, "abc"), (1, 2, "abd"), (1, 3, None), (1, 4, "xyz"), (2, 1, "q"), (None, 1, "k")], "g long, o long, t string")
+    found = spark.createDataFrame([(1, 7, "abd"), (1, 5, "ab"), (1, 6, "ab"), (1, 8, None), (3, 1, "q"), (None, 9, "kl")], "g long, o long, t string")
+    got = {(r["g"], r["o"]): (r["match"], round(r["score"], 3)) for r in match.best_candidates(golden, found, "g", "o", "t", same).collect()}
+    assert got == {(1, 1): (5, 0.667), (1, 2): (7, 1.0), (1, 3): (None, 0.0), (1, 4): (None, 0.0), (2, 1): (None, 0.0), (None, 1): (9, 0.5)}
+    assert match.best_candidates(golden.limit(0), found, "g", "o", "t", same).count() == 0
+
+
+def test_stored_stream_goes_on(spark, tmp_path):
+    source, schema = f"{tmp_path}/in", "k long, source string"
+    spark.createDataFrame([(1, "text"), (2, "text"), (None, "text")], schema).write.parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source)
+    once = stored_stream(stream, ["k"], f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert {tuple(r) for r in once.collect()} == {(1, "text"), (2, "text"), (None, "text")}
+    spark.createDataFrame([(1, "vision"), (3, "vision")], schema).write.mode("append").parquet(source)
+    again = stored_stream(stream, ["k"], f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert {tuple(r) for r in again.collect()} == {(1, "both"), (2, "text"), (3, "vision"), (None, "text")}
