@@ -33,10 +33,28 @@ def test_recall(spark, seed, dim):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     want = brute(rows)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(df, leaf_rows=64, block=128).collect()}
-    assert all(got[i][0] <= want[i][0] for i in want)
-    assert sum(n for n, _ in got.values()) >= 0.98 * sum(n for n, _ in want.values())
-    assert sum(got[i][1] != want[i][1] for i in want) <= 0.01 * len(want)
+    for how in ({"leaf_rows": 64, "block": 128}, {"leaf_rows": 16, "fit_rows": 200}):  # the second splits leaves on, level by level
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(df, **how).collect()}
+        assert all(got[i][0] <= want[i][0] for i in want)
+        assert sum(n for n, _ in got.values()) >= 0.98 * sum(n for n, _ in want.values())
+        assert sum(got[i][1] != want[i][1] for i in want) <= 0.01 * len(want)
+
+
+def test_planted_pairs_among_all_embeddings(spark):
+    """The table has no pair at 0.95, so pairs just above it are planted."""
+    rng = np.random.default_rng(5)
+    rows = [(r["vec_id"], r["embedding"]) for r in table(spark, "/root/testdata/sf0.1", "embeddings").collect()]
+    pairs = []
+    for k in range(400):
+        v = np.array(rows[k * 4][1], float)
+        u = rng.normal(size=len(v))
+        u -= (u @ v) / (v @ v) * v
+        t = np.sqrt(1 / rng.uniform(0.951, 0.96) ** 2 - 1)
+        pairs.append((100_000 + k, (v / np.linalg.norm(v) + t * u / np.linalg.norm(u)).astype(np.float32).tolist()))
+    want = brute(rows + pairs)
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_vectors(spark.createDataFrame(rows + pairs, "vec_id long, embedding array<float>"), leaf_rows=32, fit_rows=500).collect()}
+    assert sum(n for n, _ in want.values()) >= 800 and all(got[i] <= n for i, (n, _) in want.items())
+    assert sum(got.values()) >= 0.95 * sum(n for n, _ in want.values())
 
 
 def test_all_embeddings(spark):
