@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 
@@ -55,3 +57,27 @@ def test_clashing_names(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
     got = {r["doc_id"]: r["score"] for r in quality.score(docs, quality.learn(docs, labels)).collect()}
     assert all((got[i] >= 0.5) == (i % 2 == 1) for i in range(60))
+
+
+def plain(text):
+    """The statistics of a text, worked out byte by byte."""
+    b = text.encode()
+    words, lines = b.split(), [x for x in b.split(b"\n") if x]
+    grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    share = lambda chars: sum(c in chars for c in b) / max(1, len(b))
+    distinct = lambda xs: len(set(xs)) / max(1, len(xs))
+    out = {"bytes": len(b), "words": len(words), "lines": len(lines), "word_bytes": sum(map(len, words)) / max(1, len(words)), "words_a_line": len(words) / max(1, len(lines))}
+    out |= {"upper": share(range(65, 91)), "digit": share(range(48, 58)), "punctuation": share(b"!\"'(),-.:;?"), "symbol": share(b"#$%&*+/<=>@[\\]^_`{|}~"), "space": share(b" \t\n\v\f\r"), "beyond_ascii": share(range(128, 256)), "bars": share(b"|"), "exclamations": share(b"!")}
+    out |= {"distinct_words": distinct(words), "distinct_lines": distinct(lines), "distinct_grams": distinct(grams), "ends": sum(w[-1:] in b"!.?" for w in words) / max(1, len(words)), "top_word": max(Counter(words).values(), default=0) / max(1, len(words))}
+    return out
+
+
+def test_all_rows_scored_again(spark):
+    data = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] or "" for r in table(spark, data, "documents").collect()}
+    ensemble = quality.learn(table(spark, data, "documents"), table(spark, data, "labels").filter(queries.id_remainder(3) != 1))
+    assert ensemble.rules
+    for row in queries.QUERIES["op10_rule_ensemble"](spark, data).collect():
+        x = plain(docs[row["doc_id"]])
+        z = ensemble.bias + sum(w for w, rule in ensemble.rules if all((x[s] <= v) == below for s, below, v in rule))
+        assert abs(row["score"] - 1 / (1 + np.exp(-z))) < 1e-9 and row["predicted"] == (row["score"] >= 0.5)

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import math
+import re
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -78,3 +82,24 @@ def test_keep_replaces_a_column_of_its_name(spark):
     machine = toxicity.fit([])
     got = toxicity.score(docs, machine, keep=True)
     assert sorted(got.columns) == ["_score", "doc_id", "text"] and got.filter("_score <= 1").count() == 2
+
+
+def test_all_rows_scored_again(spark):
+    """Learned from the same rows read here, and scored pair by pair."""
+    data = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] or "" for r in table(spark, data, "documents").collect()}
+    labels = [r for r in table(spark, data, "labels").collect() if r["doc_id"] in docs and r["toxic"] in (0, 1)]
+    machine = toxicity.learn(table(spark, data, "documents"), table(spark, data, "labels").filter(queries.id_remainder(5) != 0))
+
+    def held(text):
+        words = [w.lower() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", text.encode())]
+        raw, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(w) for w in words], dtype=np.int64)
+        return np.unique(arrays.span_hashes(raw, np.concatenate(([0], ends[:-1])).astype(np.int64), ends) >> np.uint64(44)).astype(np.int32) if words else np.zeros(0, np.int32)
+
+    again = toxicity.fit([(held(docs[r["doc_id"]]), r["toxic"]) for r in labels if zlib.crc32(str(r["doc_id"]).encode()) % 5])
+    assert set(np.flatnonzero(again.slot >= 0)) == set(np.flatnonzero(machine.slot >= 0)) and len(machine.linear) > 5
+    for row in queries.QUERIES["op7_toxicity_machine"](spark, data).collect():
+        at = [int(machine.slot[b]) for b in held(docs[row["doc_id"]]) if machine.slot[b] >= 0]
+        z = machine.bias + sum(machine.linear[i] for i in at) + sum(float(machine.factors[i] @ machine.factors[j]) for k, i in enumerate(at) for j in at[k + 1 :])
+        assert abs(row["score"] - 1 / (1 + math.exp(-z))) < 1e-9 and row["predicted"] == (row["score"] >= 0.5)
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0)
