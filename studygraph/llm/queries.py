@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studygraph.llm import embeddings, flac, licenses, mixing, near_copies, packing, quality, substrings, token_store, toxicity
-from studygraph.llm.shared import fresh_path, table
+from studygraph.llm.shared import Written, fresh_path, table
 
 
 def id_remainder(divisor: int) -> Column:
@@ -52,11 +52,12 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_flac_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The UTF-8 bytes of all texts, padded to a positive multiple of 192, as FLAC streams and read back from them."""
+    """The UTF-8 bytes of all texts, padded to a positive multiple of 192, stored as FLAC streams in the shared folder, and
+    read back from there."""
     raw = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
     pad = F.when(F.length("_raw") == 0, 192).otherwise(F.pmod(-F.length("_raw"), F.lit(192)))
     payloads = table(spark, sf_dir, "documents").select("doc_id", raw.alias("_raw")).select("doc_id", F.length("_raw").cast("long").alias("n_bytes"), F.concat("_raw", F.encode(F.repeat(F.lit(" "), pad), "UTF-8")).alias("payload"))
-    played = flac.decode(flac.encode(payloads, "payload"))
+    played = flac.decode(Written(spark).put("media", flac.encode(payloads, "payload")))
     return played.select(
         "doc_id", "n_bytes", F.length("pcm").cast("long").alias("payload_bytes"), F.sha2("pcm", 256).alias("payload_sha256"), F.crc32(F.substring("pcm", -16, 16)).alias("tail_crc32"),
         F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",
