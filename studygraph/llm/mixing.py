@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 Leaf = tuple[str, ...]
+#: Rows of a leaf that one window of its seeded order is made for.
+PART_ROWS = 50_000
 
 
 def shares(weights: list[float], caps: list[int], budget: int) -> list[int]:
@@ -81,16 +83,19 @@ def mix(docs: DataFrame, levels: Sequence[Column], weight: Mapping[Leaf, float],
     made here (_leaf, _tokens, _epoch, _place, _part, _room, _base, _in, _end) are replaced; all others are kept.
 
     Budgets come from one sum per leaf, sent to the driver: as many rows as there are sources. Prefixes come from sums per
-    leaf, epoch and 4096th of the seeded order, so a source with a third of all rows is 4096 windows, not one."""
+    leaf, epoch and part of the seeded order: 4096 parts of a leaf, or as many more as make parts of PART_ROWS rows, so a
+    source with a third of all rows is many windows, not one."""
     names = [F.coalesce(c.cast("string"), F.lit("")) for c in levels]
     count = tokens_of(F.col("text")) if tokens is None else F.coalesce(tokens.cast("long"), F.lit(0))
     rows = docs.withColumns({"_leaf": F.array(*names), "_tokens": count})
-    available = {tuple(r["_leaf"]): r["n"] for r in rows.groupBy("_leaf").agg(F.sum("_tokens").alias("n")).collect()}
+    held = rows.groupBy("_leaf").agg(F.sum("_tokens").alias("n"), F.count("*").alias("rows")).collect()
+    available = {tuple(r["_leaf"]): r["n"] for r in held}
+    digits = max(3, math.ceil(math.log(max([1, *(r["rows"] / PART_ROWS for r in held)]), 16)))
     wanted = leaf_budgets(available, int(budget * sum(available.values())) if isinstance(budget, float) else budget, weight, epochs)
     turns = [(list(k), e, v - e * available[k]) for k, v in wanted.items() for e in range(epochs) if e == 0 or v - e * available[k] > 0]
     turn = docs.sparkSession.createDataFrame(turns, "_leaf array<string>, _epoch int, _room long")  # a row per leaf and epoch
     kept = [c for c in docs.columns if c not in ("_leaf", "_tokens", "_epoch", "_place", "_part", "_room", "_base", "_in", "_end")]
-    put = rows.select(*kept, "_leaf", "_tokens").join(F.broadcast(turn), "_leaf").withColumn("_place", seeded(seed, F.col("_epoch"), F.col(id_col))).withColumn("_part", F.substring("_place", 1, 3))
+    put = rows.select(*kept, "_leaf", "_tokens").join(F.broadcast(turn), "_leaf").withColumn("_place", seeded(seed, F.col("_epoch"), F.col(id_col))).withColumn("_part", F.substring("_place", 1, digits))
     before = Window.partitionBy("_leaf", "_epoch").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = put.groupBy("_leaf", "_epoch", "_part").agg(F.sum("_tokens").alias("_n")).select("_leaf", "_epoch", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     within = Window.partitionBy("_leaf", "_epoch", "_part").orderBy("_place", "_tokens").rowsBetween(Window.unboundedPreceding, 0)

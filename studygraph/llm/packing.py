@@ -70,7 +70,8 @@ def best_pattern(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[f
 
 def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, most_steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (columns: how many of each size) and how often each is used, fractions allowed, to cover the demand with
-    the fewest uses: the linear program of cutting stock, solved by column generation."""
+    the fewest uses: the linear program of cutting stock, solved by column generation. After most_steps columns the best
+    found so far is used: every piece still has its place, only the number of sequences may be above the least."""
     n = len(sizes)
     basis = np.diag(capacity // sizes).astype(float)
     used = np.linalg.solve(basis, demand.astype(float))
