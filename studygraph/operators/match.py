@@ -7,6 +7,7 @@ from collections import Counter
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,6 +165,40 @@ def best_candidates(golden: DataFrame, found: DataFrame, group: str, order: str,
     return golden.select(columns).groupBy(group).cogroup(found.select(columns).groupBy(group)).applyInPandas(matched, f"{group} {kind}, {order} {place}, match {place}, score double")
 
 
+def nearest_vectors(queries: DataFrame, rows: DataFrame, id_: str, vector: str, block: int = 4096) -> DataFrame:
+    """(id, best, cosine): for each query the other row with the largest cosine, of equals (to 12 digits) the smallest id.
+    Vectors have one length; null and zero vectors are no neighbours and have none. Rows of the query's own id are passed over.
+
+    Queries and rows are dealt to blocks, and every block of queries meets every block of rows in a task of its own, where
+    their products are one matrix; nothing is broadcast. The numbers of blocks come from two counts."""
+    many = [max(1, -(-df.count() // block)) for df in (queries, rows)]
+    kind = rows.schema[id_].dataType.simpleString()
+
+    def dealt(df: DataFrame, side: int) -> DataFrame:
+        own = F.pmod(F.xxhash64(id_), F.lit(many[side])).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.lit(many[1 - side] - 1)))
+        out = df.filter(F.col(vector).isNotNull()).select(F.lit(side).alias("side"), F.col(id_).alias("id"), F.col(vector).cast("array<double>").alias("v"), own.alias("own"), other.alias("other"))
+        return out.select("side", "id", "v", *([F.col("own").alias("i"), F.col("other").alias("j")] if side == 0 else [F.col("other").alias("i"), F.col("own").alias("j")]))
+
+    def met(group: pd.DataFrame) -> pd.DataFrame:
+        q, r = (group[group["side"] == side].sort_values("id") for side in (0, 1))
+        none = pd.DataFrame({"id": q["id"][:0], "best": r["id"][:0], "cosine": np.zeros(0)})
+        if not len(q) or not len(r):
+            return none
+        a, b = (np.stack(x["v"].to_numpy()) for x in (q, r))
+        a, b = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) for x in (a, b))
+        c = np.round(a @ b.T, 12)
+        c[q["id"].to_numpy()[:, None] == r["id"].to_numpy()[None, :]] = -2
+        c[~a.any(1)], c[:, ~b.any(1)] = -2, -2
+        at = c.argmax(1)
+        best = c[np.arange(len(c)), at]
+        return pd.DataFrame({"id": q["id"].to_numpy(), "best": r["id"].to_numpy()[at], "cosine": best})[best > -2]
+
+    both = dealt(queries, 0).union(dealt(rows, 1))
+    found = both.groupBy("i", "j").applyInPandas(met, f"id {kind}, best {kind}, cosine double")
+    return found.groupBy("id").agg(F.min_by("best", F.struct(-F.col("cosine"), "best")).alias("best"), F.max("cosine").alias("cosine"))
+
+
 def leader_clusters(df: DataFrame, group: str, order: str, name: str, least: float) -> DataFrame:
     """Clusters by leader: in order, a name joins the first cluster whose leader it resembles (Ratcliff-Obershelp ratio of
     at least `least`), else it leads a new one. Adds leader, the leader's order. Equal names of a group are one, by their

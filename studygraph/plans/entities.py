@@ -186,14 +186,6 @@ SELECT vec_id, first(best ORDER BY c DESC, best) AS best, round(max(c), 6) AS co
 """)
 def semantic_resolve(spark, sf_dir):
     """For a stated query set (ids divisible by 100) the most similar other vector of all."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
-
-    def dot(a, b):
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-    q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("q"), F.col("e").alias("qe"), F.sqrt(dot(F.col("e"), F.col("e"))).alias("qn"))
-    scored = e.withColumn("n", F.sqrt(dot(F.col("e"), F.col("e")))).join(q, F.col("vec_id") != F.col("q")).select("q", "vec_id", (dot(F.col("e"), F.col("qe")) / (F.col("n") * F.col("qn"))).alias("c"))
-    best = scored.groupBy("q").agg(F.max_by("vec_id", F.struct("c", -F.col("vec_id"))).alias("best"), F.max("c").alias("c"))
-    return best.select(F.col("q").alias("vec_id"), "best", F.round("c", 6).alias("cosine"))
-
-
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    best = match.nearest_vectors(e.filter("vec_id % 100 = 0"), e, "vec_id", "embedding")
+    return best.select(F.col("id").alias("vec_id"), "best", F.round("cosine", 6).alias("cosine"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +115,19 @@ def test_stored_stream_goes_on(spark, tmp_path):
     spark.createDataFrame([(1, "vision"), (3, "vision")], schema).write.mode("append").parquet(source)
     again = stored_stream(stream, ["k"], f"{tmp_path}/out", f"{tmp_path}/cp")
     assert {tuple(r) for r in again.collect()} == {(1, "both"), (2, "text"), (3, "vision"), (None, "text")}
+
+
+def test_nearest_vectors(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(60, 5))
+    x[7], x[9], x[11] = x[5], 2 * x[5], 0
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(60, None)]
+    df = spark.createDataFrame(rows, "k long, v array<double>")
+    u = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    c = np.round(u @ u.T, 12)
+    np.fill_diagonal(c, -2)
+    c[:, 11] = -2
+    for block in (4096, 7):
+        got = {r["id"]: (r["best"], round(r["cosine"], 9)) for r in match.nearest_vectors(df.filter("k % 5 = 0 OR k = 11"), df, "k", "v", block).collect()}
+        assert got == {i: (int(c[i].argmax()), round(float(c[i].max()), 9)) for i in range(0, 60, 5)}
+    assert match.nearest_vectors(df.limit(0), df, "k", "v").count() == 0
