@@ -161,7 +161,7 @@ def best_candidates(golden: DataFrame, found: DataFrame, group: str, order: str,
             out.append((getattr(row, group), getattr(row, order), None if at is None else free.pop(at)[0], best))
         return pd.DataFrame(out, columns=[group, order, "match", "score"]).astype({"match": "object"})
 
-    columns = [group, order, text]
+    columns = [F.col(c).alias(c) for c in (group, order, text)]  # new columns, where both come from one table
     return golden.select(columns).groupBy(group).cogroup(found.select(columns).groupBy(group)).applyInPandas(matched, f"{group} {kind}, {order} {place}, match {place}, score double")
 
 

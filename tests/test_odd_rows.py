@@ -104,6 +104,8 @@ def test_best_candidates(spark):
     got = {(r["g"], r["o"]): (r["match"], round(r["score"], 3)) for r in match.best_candidates(golden, found, "g", "o", "t", same).collect()}
     assert got == {(1, 1): (5, 0.667), (1, 2): (7, 1.0), (1, 3): (None, 0.0), (1, 4): (None, 0.0), (2, 1): (None, 0.0), (None, 1): (9, 0.5)}
     assert match.best_candidates(golden.limit(0), found, "g", "o", "t", same).count() == 0
+    one = match.best_candidates(found.filter("o < 7"), found.filter("o >= 7"), "g", "o", "t", same)  # both of one table
+    assert {(r["g"], r["o"], r["match"]) for r in one.collect()} == {(1, 5, 7), (1, 6, None), (3, 1, None)}
 
 
 def test_stored_stream_goes_on(spark, tmp_path):
