@@ -208,9 +208,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     yield loaded, part
 
     def extensions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of the windows around hits, each distinct one of a slice: hash and digest, where it first starts, the group
-        times 2, and 1 if there are several."""
+        """The windows around hits, once for each group or for HELD windows of it: hash and digest, where it first starts,
+        and the group times 2, and 1 if there are several."""
+
+        def distinct(q: int, held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            value, digest, ids, ties = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((digest, value))  # of equal windows the first stands for all: texts are in the order of ids
+            v, d = value[order], digest[order]
+            head = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (d[1:] != d[:-1])))
+            again = np.diff(np.append(head, len(order))) > 1
+            lead = order[head]
+            return pa.RecordBatch.from_arrays([pa.array(v[head]), pa.array(d[head]), pa.array(ids[lead]), pa.array(ties[lead]), pa.array(2 * q + again.astype(np.int64))], ["value", "digest", "id", "tie", "asked"])
+
         for q, mine in by_key(batches, "q"):
+            held, n = [], 0
             for (live, *_), part in split(mine):
                 raw, starts, ends, first, hashes = hashed(part)
                 at, values = windows(hashes, first, block, value_bits)
@@ -223,20 +234,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 at, values = at[near], values[near]
                 if not len(at):
                     continue
-                digest = digests(raw, starts, ends, at, window)
-                order = np.lexsort((digest, values))  # of equal windows the first stands for all: texts are in the order of ids
-                v, d = values[order], digest[order]
-                head = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (d[1:] != d[:-1])))
-                again = np.diff(np.append(head, len(order))) > 1
-                row = np.repeat(np.arange(len(part)), np.diff(first))[at[order[head]]]
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(v[head]), pa.array(d[head]), part.column("id").take(take), part.column("tie").take(take), pa.array(2 * q + again.astype(np.int64))], ["value", "digest", "id", "tie", "asked"])
+                row = np.repeat(np.arange(len(part)), np.diff(first))[at]
+                held.append((values, digests(raw, starts, ends, at, window), *[part.column(c).to_numpy(zero_copy_only=False)[row] for c in ("id", "tie")]))
+                n += len(at)
+                if n >= HELD:
+                    yield distinct(q, held)
+                    held, n = [], 0
+            if held:
+                yield distinct(q, held)
 
     of_window = Window.partitionBy("value", "digest")
     group = F.shiftright("asked", 1).cast("int")
     extended = with_answers(hit.select("q", "value", F.lit(0).cast("long").alias("digest"), F.lit(True).alias("here"))).mapInArrow(extensions, "value long, digest long, id long, tie long, asked long")
-    known = extended.withColumns({"n": F.count("*").over(of_window), "again": F.bit_or("asked").over(of_window), "least": F.min(F.struct("id", "tie", group.alias("q"))).over(of_window)}).filter("n > 1 OR (again & 1) > 0")
-    answer = tables.put("repeats", known.select(group.alias("q"), "value", "digest", (F.col("least.q") == group).alias("here")))
+    known = (
+        extended.withColumn("q", group).withColumn("mine", F.count("*").over(Window.partitionBy("value", "digest", "q")))
+        .withColumns({"n": F.count("*").over(of_window), "again": F.bit_or("asked").over(of_window), "least": F.min(F.struct("id", "tie", "q")).over(of_window)})
+        .filter("n > 1 OR (again & 1) > 0").withColumn("here", F.col("least.q") == F.col("q"))
+        .filter("NOT here OR mine > 1 OR (asked & 1) > 0")  # a group that only has the first copy loses nothing
+    )
+    answer = tables.put("repeats", known.select("q", "value", "digest", "here"))
     tables.drop("hits")
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
