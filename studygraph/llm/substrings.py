@@ -247,9 +247,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     group = F.shiftright("asked", 1).cast("int")
     extended = with_answers(hit.select("q", "value", F.lit(0).cast("long").alias("digest"), F.lit(True).alias("here"))).mapInArrow(extensions, "value long, digest long, id long, tie long, asked long")
     known = (
-        extended.withColumn("q", group).withColumn("mine", F.count("*").over(Window.partitionBy("value", "digest", "q")))
+        extended.withColumn("q", group)
         .withColumns({"n": F.count("*").over(of_window), "again": F.bit_or("asked").over(of_window), "least": F.min(F.struct("id", "tie", "q")).over(of_window)})
-        .filter("n > 1 OR (again & 1) > 0").withColumn("here", F.col("least.q") == F.col("q"))
+        .filter("n > 1 OR (again & 1) > 0").select("q", "value", "digest", "asked", (F.col("least.q") == F.col("q")).alias("here"))
+        .withColumn("mine", F.count("*").over(Window.partitionBy("value", "digest", "q")))  # partitioned by value and digest already
         .filter("NOT here OR mine > 1 OR (asked & 1) > 0")  # a group that only has the first copy loses nothing
     )
     answer = tables.put("repeats", known.select("q", "value", "digest", "here"))
