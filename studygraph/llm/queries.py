@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import embeddings, flac, licenses, mixing, near_copies, packing, quality, substrings, token_store, toxicity
+from studygraph.llm import embeddings, flac, importance, licenses, mixing, near_copies, packing, quality, substrings, token_store, toxicity
 from studygraph.llm.shared import Written, fresh_path, table
 
 
@@ -95,6 +95,11 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, ensemble).select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_trie_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents of 20 words or more, drawn toward the benchmark's distribution, among all documents."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budget_tree": op1_budget_tree,
     "op2_anchored_repeats": op2_anchored_repeats,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_digests": op8_license_digests,
     "op9_projection_forest": op9_projection_forest,
     "op10_rule_ensemble": op10_rule_ensemble,
+    "op11_trie_resample": op11_trie_resample,
 }
 
 DOMAIN_SQL = "['web', 'books', 'code', 'news'][(coalesce(TRY_CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INTEGER), 0) // 5) % 4 + 1]"
