@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studygraph.llm import embeddings, flac, importance, licenses, mixing, near_copies, packing, quality, substrings, token_store, toxicity
+from studygraph.llm import alignment, embeddings, exact_copies, flac, importance, licenses, mixing, near_copies, packing, quality, substrings, token_store, toxicity
 from studygraph.llm.shared import Written, fresh_path, table
 
 
@@ -100,6 +100,20 @@ def op11_trie_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers meet in every document, and how often their ids meet in all."""
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the documents with the same text stays. The older half by id, up to the middle of all ids, is indexed first;
+    the other is the batch that comes after it."""
+    docs = table(spark, sf_dir, "documents")
+    ends = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    middle = 0 if ends[0] is None else (ends[0] + ends[1]) // 2
+    return exact_copies.exact_copies(docs, F.col("doc_id") <= middle)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budget_tree": op1_budget_tree,
     "op2_anchored_repeats": op2_anchored_repeats,
@@ -112,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_projection_forest": op9_projection_forest,
     "op10_rule_ensemble": op10_rule_ensemble,
     "op11_trie_resample": op11_trie_resample,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_digest_index": op13_digest_index,
 }
 
 DOMAIN_SQL = "['web', 'books', 'code', 'news'][(coalesce(TRY_CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INTEGER), 0) // 5) % 4 + 1]"
@@ -121,4 +137,5 @@ ORACLES: dict[str, str] = {
     "op2_anchored_repeats": substrings.repeats_sql(),
     "op8_license_digests": licenses.scan_sql(),
     "op9_projection_forest": embeddings.near_sql(),
+    "op13_digest_index": exact_copies.copies_sql(),
 }
