@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from studygraph.llm import arrays
 from studygraph.llm.shared import Written, fresh_path
-from studygraph.llm.substrings import by_key
 from studygraph.llm.token_store import PerfectHash, dump, load, opened
 
 DIGEST = 32
@@ -160,22 +159,22 @@ class DigestIndex:
         """The index with the rows (id, row, digest, chars) of one more batch, in files beside those of before."""
         folder = f"{self.path}/{uuid.uuid4().hex}"
 
-        def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, run in by_key(batches, "part"):
-                got = pa.Table.from_batches(list(run)).combine_chunks()
-                ids = got.column("id")
-                new = {k: got.column(k).to_numpy() for k in ("chars", "row", "size")} | {"has_id": ids.is_valid().to_numpy(), "id": pa.compute.fill_null(ids, 0).to_numpy()}
-                done, members = Part.read(got.column("path")[0].as_py()).extended(digest_bytes(got.column("digest").combine_chunks()), new)
-                name = f"{folder}/{uuid.uuid4().hex}.digests"
-                done.write(name)
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([name]), pa.array([len(done.digest)], pa.int64()), pa.array([members], pa.int64())], ["part", "path", "digests", "members"])
-
-        files = self.files if self.files is not None else self.spark.createDataFrame([], "part long, path string, digests long, members long")
-        asked = grouped(rows, self.parts).join(files.select("part", "path"), "part", "left")
-        told = asked.repartition("part").sortWithinPartitions("part").mapInArrow(merged, "part long, path string, digests long, members long")
-        now = Written(self.spark).put("files", told)
-        left = files.join(now.select("part"), "part", "left_anti").withColumn("members", F.lit(0).cast("long"))
-        return replace(self, files=now.unionByName(left))
+        def merged(got: pa.Table, known: pa.Table) -> pa.Table:
+            names = ["part", "path", "digests", "members"]
+            if not len(got):
+                return known.set_column(3, "members", pa.array([0], pa.int64()))
+            ids = got.column("id").combine_chunks()
+            new = {k: got.column(k).to_numpy() for k in ("chars", "row", "size")} | {"has_id": ids.is_valid().to_numpy(zero_copy_only=False), "id": pa.compute.fill_null(ids, 0).to_numpy()}
+            done, members = Part.read(known.column("path")[0].as_py() if len(known) else None).extended(digest_bytes(got.column("digest").combine_chunks()), new)
+            name = f"{folder}/{uuid.uuid4().hex}.digests"
+            done.write(name)
+            return pa.table([pa.array([got.column("part")[0].as_py()], pa.int64()), pa.array([name]), pa.array([len(done.digest)], pa.int64()), pa.array([members], pa.int64())], names)
+
+        fields = "part long, path string, digests long, members long"
+        files = self.files if self.files is not None else self.spark.createDataFrame([], fields)
+        # a part meets its groups whole: cogrouping asks Spark for that, a repartition() behind a join would not
+        told = grouped(rows, self.parts).groupBy("part").cogroup(files.groupBy("part")).applyInArrow(merged, fields)
+        return replace(self, files=Written(self.spark).put("files", told))
 
     def found(self, rows: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
         """rows (id, row, digest, chars) with keep_id, keep_row and group_size of their digests; rows of digests that the

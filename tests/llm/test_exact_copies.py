@@ -37,6 +37,13 @@ def test_any_history_gives_the_same(spark, history):
     assert exact_copies.exact_copies(frame.limit(0), F.expr(history)).count() == 0
 
 
+def test_parts_stay_whole_whatever_the_join(spark):
+    """No part is written twice where joins are broadcast at run time and shuffles are read locally."""
+    frame = spark.createDataFrame([(i, f"text {i // 2}") for i in range(4000)], "doc_id long, text string").repartition(7)
+    got = exact_copies.exact_copies(frame, F.col("doc_id") < 2000, part_keys=900, part_rows=300)
+    assert got.count() == 4000 and got.filter("group_size = 2 AND kept").count() == 2000
+
+
 def test_batches_one_after_another(spark):
     """Three batches: the third has only members, so parts change without new digests; rows it lacks are left out."""
     texts = [f"t {i % 40}" for i in range(100)] + ["t  7 ", "t   9  "]
