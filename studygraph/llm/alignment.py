@@ -2,8 +2,9 @@
 
 The tokens of B are an interval index that never changes: their ends in order. Each token of A finds the B tokens it
 overlaps by bisection; a gap between two B tokens that no A token spans is a bound, and bounds cut both lists into
-groups. Both tokenizers leave certain places of a text (a space after what is none) always uncrossed, so texts are cut
-there into units and each distinct unit is tokenized and aligned once."""
+groups. Both tokenizers leave certain places of a text always uncrossed: A's splitting does (before white space, between a
+letter and a mark), and B has no piece in which the two characters there follow one another. Texts are cut at such places
+into units, and each distinct unit is tokenized and aligned once."""
 
 from __future__ import annotations
 
@@ -19,10 +20,11 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from sentencepiece.sentencepiece_model_pb2 import ModelProto
 from tokenizers import Tokenizer
 
 from studygraph.llm import arrays
-from studygraph.llm.encoding import _ODD
+from studygraph.llm.encoding import cuts
 from studygraph.llm.shared import Written
 from studygraph.llm.substrings import by_key
 
@@ -51,33 +53,38 @@ class ByteLevel:
 
 
 class Pieces:
-    """A sentencepiece model that puts a space before each text; given texts begin with that space."""
+    """A sentencepiece model that puts a space before each text. Texts given here begin with that space, or are parts of
+    texts, so the model is read as one that puts none."""
 
     def __init__(self, path: str) -> None:
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        proto = ModelProto()
+        with open(path, "rb") as f:
+            proto.ParseFromString(f.read())
+        spec = proto.normalizer_spec
+        if not spec.add_dummy_prefix or spec.remove_extra_whitespaces or spec.precompiled_charsmap:
+            raise ValueError("the model changes texts by more than a space before them, so they can't be cut into parts")
+        spec.add_dummy_prefix = False
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         pieces = [(i, self.model.id_to_piece(i)) for i in range(self.model.vocab_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
-        if any("▁" in p.lstrip("▁") for _, p in pieces):
-            raise ValueError("the model has pieces with a space inside, so texts can't be cut before spaces")
-        self.space = [self.model.piece_to_id("▁")]
+        #: Which ASCII characters follow one another in a piece.
+        self.joined = np.zeros((256, 256), bool)
+        for i, piece in pieces:
+            if not self.model.is_byte(i):
+                at = np.frombuffer(piece.replace("▁", " ").encode(), np.uint8)
+                self.joined[at[:-1], at[1:]] = True
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.model.encode([t[1:] for t in texts], num_threads=1)
-        return [ids if len(t) > 1 else self.space for t, ids in zip(texts, found, strict=True)]
+        return self.model.encode(texts, num_threads=1)
 
 
-def units_of(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where units start: at each text, and at each space after a character that is sure to be no white space."""
-    n = len(raw)
-    cut = np.zeros(n + 1, bool)
-    if n > 1:
-        odd = _ODD[raw]
-        near = odd.copy()
-        near[1:] |= odd[:-1]
-        near[2:] |= odd[:-2]
-        cut[1:n] = (raw[1:] == 32) & ~arrays._SPACE[raw[:-1]] & ~near[:-1]
-    cut[offsets] = True
-    return np.flatnonzero(cut[:n])
+def units_of(raw: np.ndarray, offsets: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """Where units start: at each text, and where neither tokenizer has a token across. joined: the pairs of bytes that
+    follow one another in some piece."""
+    at = cuts(raw, offsets, True)
+    inner = at[at > 0]
+    before, after = raw[inner - 1], raw[inner]
+    return np.union1d(offsets[:-1][np.diff(offsets) > 0], inner[(before < 128) & (after < 128) & ~joined[before, after]])
 
 
 def stab(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,44 +134,64 @@ class Aligner:
             self.learn_some(fresh[at : at + 4096])
 
     def learn_some(self, fresh: list[bytes]) -> None:
-        known, n = len(self.unit), len(fresh)
+        """Units that begin with a space and end with what is none are tokenized together, as neither tokenizer joins one to
+        the next; others by themselves."""
         spelled = [x.decode() for x in fresh]
-        both = [(t, t.encode(spelled)) for t in (self.a, self.b)]
-        good = np.array([all(b"".join([t.bytes[i] for i in ids[u]]) == x for t, ids in both) for u, x in enumerate(fresh)])
+        free = [x[0] == 32 and not t[-1].isspace() and "▁" not in t for x, t in zip(fresh, spelled, strict=True)]
+        together, apart = [u for u, f in enumerate(free) if f], [u for u, f in enumerate(free) if not f]
+        text, raw = "".join([spelled[u] for u in together]), b"".join([fresh[u] for u in together])
+        both = [t.encode([text]) if text else [[]] for t in (self.a, self.b)]
+        if any(b"".join([t.bytes[i] for i in ids[0]]) != raw for t, ids in zip((self.a, self.b), both, strict=True)):
+            together, apart, both = [], together + apart, [[[]], [[]]]
+        for t, ids in zip((self.a, self.b), both, strict=True):
+            ids += t.encode([spelled[u] for u in apart]) if apart else []
+        ok = [all(b"".join([t.bytes[i] for i in ids[1 + k]]) == fresh[u] for t, ids in zip((self.a, self.b), both, strict=True)) for k, u in enumerate(apart)]
+        order = together + [u for u, fine in zip(apart, ok, strict=True) if fine] + [u for u, fine in zip(apart, ok, strict=True) if not fine]
+        n, n_good = len(fresh), len(together) + sum(ok)
+        a, b = (np.array([i for part, fine in zip(ids, [True, *ok], strict=True) if fine for i in part], np.int64) for ids in both)
+        known = len(self.unit)
         if known + n + 1 > len(self.good):
-            more = max(n, len(self.good)) + 1
-            self.counts = np.concatenate([self.counts, np.zeros((more, 5), np.int64)])
-            self.good = np.concatenate([self.good, np.zeros(more, bool)])
-        self.good[known : known + n] = good
-        (a, a_unit), (b, b_unit) = ((np.array([i for u in np.flatnonzero(good) for i in ids[u]], np.int64), np.repeat(np.flatnonzero(good), [len(ids[u]) for u in np.flatnonzero(good)])) for _, ids in both)
+            room = max(n, len(self.good)) + 1
+            self.counts = np.concatenate([self.counts, np.zeros((room, 5), np.int64)])
+            self.good = np.concatenate([self.good, np.zeros(room, bool)])
+        self.good[known : known + n] = np.arange(n) < n_good
         counts, texts = np.zeros((n, 5), np.int64), [b""] * n
         if len(a):
-            a_group, b_group = stab(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
+            ends = np.cumsum([len(fresh[u]) for u in order[:n_good]])
+            a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+            a_unit, b_unit = np.searchsorted(ends, a_ends), np.searchsorted(ends, b_ends)
+            a_group, b_group = stab(a_ends, b_ends)
             group, codes, times = crossed(a_group, a, b_group, b, self.ids)
             first_b = np.flatnonzero(np.concatenate(([True], np.diff(b_group) > 0)))
             unit_of = b_unit[first_b]
-            order = np.lexsort((codes, unit_of[group]))
-            unit, codes, times = unit_of[group][order], codes[order], times[order]
+            by_code = np.lexsort((codes, unit_of[group]))
+            unit, codes, times = unit_of[group][by_code], codes[by_code], times[by_code]
             heads = np.flatnonzero(np.concatenate(([True], (np.diff(codes) != 0) | (np.diff(unit) != 0))))
             unit, codes, times = unit[heads], codes[heads], np.add.reduceat(times, heads)
             counts[:, 0], counts[:, 1], counts[:, 2] = np.bincount(a_unit, minlength=n), np.bincount(b_unit, minlength=n), np.bincount(unit_of, minlength=n)
             counts[:, 3], counts[:, 4] = np.bincount(unit, times, n).astype(np.int64), np.bincount(unit, minlength=n)
-            first_a = np.searchsorted(a_group, np.arange(len(first_b) + 1)).tolist()
-            first_b, a_text, b_text = [*first_b.tolist(), len(b)], list(map(str, a.tolist())), list(map(str, b.tolist()))
-            lines: list[list[str]] = [[] for _ in range(n)]
-            for g, u in enumerate(unit_of.tolist()):
-                lines[u].append(f"{','.join(a_text[first_a[g] : first_a[g + 1]])}|{','.join(b_text[first_b[g] : first_b[g + 1]])}")
-            texts = [";".join(x).encode() for x in lines]
+            texts[:n_good] = self.spelled(a, a_group, b, b_group, b_unit)
             start = int(self.counts[known, 4])
             if start + len(codes) > len(self.codes):
-                room = np.zeros(max(len(codes), len(self.codes)), np.int64)
-                self.codes, self.times = np.concatenate([self.codes, room]), np.concatenate([self.times, room])
+                more = np.zeros(max(len(codes), len(self.codes)), np.int64)
+                self.codes, self.times = np.concatenate([self.codes, more]), np.concatenate([self.times, more])
             self.codes[start : start + len(codes)], self.times[start : start + len(codes)] = codes, times
         self.counts[known : known + n, :4] = counts[:, :4]
         self.counts[known + 1 : known + n + 1, 4] = self.counts[known, 4] + np.cumsum(counts[:, 4])
         self.texts += texts
         self.bytes += sum(map(len, fresh)) + sum(map(len, texts)) + 16 * int(counts[:, 4].sum())
-        self.unit.update(zip(fresh, range(known, known + n), strict=True))
+        self.unit.update(zip([fresh[u] for u in order], range(known, known + n), strict=True))
+
+    def spelled(self, a: np.ndarray, a_group: np.ndarray, b: np.ndarray, b_group: np.ndarray, b_unit: np.ndarray) -> list[bytes]:
+        """The groups of each unit as text: all tokens in order of group, A before B, each with the mark behind it."""
+        last = lambda x: np.append(np.diff(x) > 0, True)
+        mark_a = np.where(last(a_group), 1, 0)
+        mark_b = np.where(last(b_unit), 3, np.where(last(b_group), 2, 0))
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        tokens = np.concatenate([a * 4 + mark_a, b * 4 + mark_b])[order]
+        distinct, each = np.unique(tokens, return_inverse=True)
+        written = np.array([b"%d%c" % (t >> 2, b",|;\n"[t & 3]) for t in distinct.tolist()], object)
+        return b"".join(written[each].tolist()).split(b"\n")[:-1]
 
     def align(self, column: pa.Array) -> tuple[np.ndarray, list[bytes | None], np.ndarray, np.ndarray, np.ndarray]:
         """(tokens of A, of B, groups and links of each text, its groups as text or None if it has no tokens, and of the
@@ -172,7 +199,7 @@ class Aligner:
         length = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
         spaced = pa.compute.binary_join_element_wise(pa.scalar("", pa.large_string()), pa.compute.fill_null(column.cast(pa.large_string()), ""), pa.scalar(" ", pa.large_string()))
         raw, offsets = arrays.text_bytes(spaced)
-        starts = units_of(raw, offsets)
+        starts = units_of(raw, offsets, self.b.joined)
         bounds = np.append(starts, len(raw)).astype(np.int64)
         coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
@@ -193,7 +220,7 @@ class Aligner:
         size = self.counts[at + 1, 4] - self.counts[at, 4]
         place = np.repeat(self.counts[at, 4] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
         owner, codes, times = np.repeat(key >> 32, size), self.codes[place], self.times[place] * np.repeat(often, size)
-        order = np.lexsort((codes, owner))
+        order = np.argsort(owner << 32 | codes) if self.kind == "<u4" else np.lexsort((codes, owner))
         owner, codes, times = owner[order], codes[order], times[order]
         heads = np.flatnonzero(np.concatenate(([True], (np.diff(codes) != 0) | (np.diff(owner) != 0)))) if len(codes) else np.zeros(0, np.int64)
         return counts, groups, owner[heads], codes[heads], np.add.reduceat(times, heads) if len(heads) else times
