@@ -14,7 +14,8 @@ from studygraph.operators.rules import ANCHORS, EXECUTION_TYPES, REPETITIONS, Ru
 
 __all__ = ["ANCHORS", "EXECUTION_TYPES", "REPETITIONS", "Rule"]
 
-# Pattern and footnote class in order of precedence; what matches none is general.
+# Classes of this library's own making for single lines, in order of precedence; what matches none is general. The kinds of
+# conditions are in notes.py.
 FOOTNOTE_CLASSES: tuple[tuple[str, str], ...] = (
     (r"within\s+[0-9]+|prior\s+to|before|after|hours?|minutes?", "timing"),
     (r"only\s+(?:for|if|in)|female|childbearing|eligib", "eligibility"),
@@ -25,15 +26,15 @@ FOOTNOTE_CLASSES: tuple[tuple[str, str], ...] = (
 # States and the patterns that show them.
 STATES: tuple[tuple[str, str], ...] = (
     ("Screening", r"screening"),
-    ("Enrolled", r"enrol(?:l)?ed"),
-    ("Randomized", r"randomi[sz]ed"),
-    ("OnTreatment", r"on\s+treatment|receive\s+treatment|dosed"),
-    ("Completed", r"complete[sd]"),
-    ("Discontinued", r"discontinu"),
-    ("FollowUp", r"follow-up"),
-    ("LostToFollowUp", r"lost\s+to\s+follow-up"),
-    ("Withdrawn", r"withdraw"),
-    ("Death", r"death|died"),
+    ("Enrolled", r"enroll(?:ed|ment)"),
+    ("Randomized", r"random(?:ized?|ization)"),
+    ("OnTreatment", r"(?:on\s+)?treatment\s+(?:period|phase)"),
+    ("Completed", r"complet(?:ed?|ion)"),
+    ("Discontinued", r"discontinu(?:ed?|ation)"),
+    ("FollowUp", r"follow[- ]?up"),
+    ("LostToFollowUp", r"lost\s+to\s+follow[- ]?up"),
+    ("Withdrawn", r"withdr(?:ew|awn|awal)"),
+    ("Death", r"death|died|deceased"),
 )
 
 # Standard transitions between states.

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from studygraph.plans import checks, clinical, compare, entities, extractors, labels, merges, pages, schedules, structures
+from studygraph.plans import catalogues, checks, clinical, compare, day_notes, diagrams, entities, extractors, graphs, labels, merges, models, nested, pages, schedules, structures
 from studygraph.registry import ORACLES, QUERIES, Query
 
-__all__ = ["checks", "clinical", "compare", "entities", "extractors", "labels", "merges", "oracle_sql", "pages", "queries", "schedules", "structures"]
+__all__ = ["catalogues", "checks", "clinical", "compare", "day_notes", "diagrams", "entities", "extractors", "graphs", "labels", "merges", "models", "nested", "oracle_sql", "pages", "queries", "schedules", "structures"]
 
 
 def queries() -> dict[str, Query]:

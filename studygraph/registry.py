@@ -19,15 +19,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all machines share, spark.checkpoint.dir; only a single machine may lack it."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all machines share, spark.checkpoint.dir; a single machine that lacks it gets a temporary one, which
+    the session keeps."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         shared = "file://" + tempfile.mkdtemp(prefix="studygraph-")
-    return f"{shared.rstrip('/')}/studygraph-{name}-{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all machines share."""
+    return f"{shared_dir(spark)}/studygraph-{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder by checkpoint(), so that a lost executor costs no more than what follows."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a path in whatever store holds it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
