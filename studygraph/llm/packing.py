@@ -46,32 +46,24 @@ def grouped(counts: dict[int, int], groups: int) -> list[tuple[int, list[tuple[i
 
 def best_pattern(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """The multiset of sizes within capacity of greatest worth (an unbounded knapsack): its worth, and how many of each."""
-    value = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    least = int(sizes.min())
-    for c in range(least, capacity + 1):
-        fits = np.flatnonzero(sizes <= c)
-        gain = value[c - sizes[fits]] + worth[fits]
-        at = int(np.argmax(gain))
-        if gain[at] > value[c - 1] + 1e-12:
-            value[c], taken[c] = gain[at], fits[at]
-        else:
-            value[c] = value[c - 1]
-    pattern = np.zeros(len(sizes), np.int64)
-    c = capacity
-    while c > 0:
-        if taken[c] < 0:
-            c -= 1
-        else:
-            pattern[taken[c]] += 1
-            c -= int(sizes[taken[c]])
-    return float(value[capacity]), pattern
-
-
-def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, most_steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+    value = np.zeros(capacity + 1)  # of each room the most that fits in it
+    for size, gain in zip(sizes.tolist(), worth.tolist(), strict=True):
+        for _ in range(capacity // size if gain > 0 else 0):
+            np.maximum(value[size:], value[:-size] + gain, out=value[size:])
+    pattern, room = np.zeros(len(sizes), np.int64), capacity
+    while True:
+        fits = np.flatnonzero((sizes <= room) & (worth > 0))
+        last = fits[value[room - sizes[fits]] + worth[fits] >= value[room] - 1e-9]
+        if not len(last):
+            return float(value[capacity]), pattern
+        pattern[last[0]] += 1
+        room -= int(sizes[last[0]])
+
+
+def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, most_steps: int = 2000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (columns: how many of each size) and how often each is used, fractions allowed, to cover the demand with
-    the fewest uses: the linear program of cutting stock, solved by column generation. After most_steps columns the best
-    found so far is used: every piece still has its place, only the number of sequences may be above the least."""
+    the fewest uses: the linear program of cutting stock, solved by column generation. After most_steps columns, some ten
+    times as many as were needed, the best found so far is used: every piece still has its place."""
     n = len(sizes)
     basis = np.diag(capacity // sizes).astype(float)
     used = np.linalg.solve(basis, demand.astype(float))
@@ -121,8 +113,69 @@ class Bins:
         return room, first, k
 
 
-def plan(counts: dict[int, int], capacity: int, groups: int = 40, large: float = 1 / 8) -> tuple[list[Run], int]:
-    """Runs that place `counts[length]` pieces of each length, and the number of sequences."""
+#: How plans are tried: groups of large lengths, and the part of the capacity beyond which a length is large. Without groups
+#: all pieces are placed by best fit alone.
+TRIED = ((20, 1 / 4), (80, 1 / 3), (160, 1 / 4), (40, 1 / 8), (80, 1 / 8), (0, 1), (160, 1 / 8))
+
+
+def plan(counts: dict[int, int], capacity: int, tried: tuple[tuple[int, float], ...] = TRIED) -> tuple[list[Run], int]:
+    """Runs that place `counts[length]` pieces of each length, and the number of sequences: of the plans tried the one with
+    the fewest, the first of those. No further one is tried once the tokens could not be held by fewer."""
+    least = -(-sum(x * n for x, n in counts.items()) // capacity)
+    best: tuple[list[Run], int] | None = None
+    for groups, large in tried:
+        found = planned(counts, capacity, groups, large)
+        if best is None or found[1] < best[1]:
+            best = found
+        if best[1] <= least:
+            break
+    return best or ([], 0)
+
+
+class Left:
+    """The pieces that are still to be placed, by rounded size and length. Sizes stand from the largest down."""
+
+    def __init__(self, dealt: list[tuple[int, list[tuple[int, int]]]], sizes: np.ndarray) -> None:
+        place = {int(s): i for i, s in enumerate(sizes)}
+        self.of: dict[int, dict[int, int]] = {}  # length: group: pieces
+        self.lengths: list[list[int]] = [[] for _ in sizes]  # of each group, from the largest down
+        self.demand = np.zeros(len(sizes), np.int64)
+        for rounded, members in dealt:
+            i = place[rounded]
+            for length, n in members:
+                self.of.setdefault(length, {})
+                if i not in self.of[length]:
+                    self.lengths[i].append(length)
+                self.of[length][i] = self.of[length].get(i, 0) + n
+                self.demand[i] += n
+        self.all = sorted(self.of)
+
+    def take(self, length: int, group: int, n: int) -> None:
+        self.of[length][group] -= n
+        self.demand[group] -= n
+        if not self.of[length][group]:
+            del self.of[length][group]
+            if not self.of[length]:
+                del self.of[length]
+                self.all.pop(bisect.bisect_left(self.all, length))
+
+    def largest(self, group: int) -> tuple[int, int]:
+        """The largest length that a group still has, and how many."""
+        while group not in self.of.get(self.lengths[group][0], {}):
+            self.lengths[group].pop(0)
+        return self.lengths[group][0], self.of[self.lengths[group][0]][group]
+
+    def fitting(self, room: int) -> tuple[int, int, int] | None:
+        """The largest length of all that fits a room, one of its groups, and how many it has."""
+        at = bisect.bisect_right(self.all, room)
+        if not at:
+            return None
+        group, n = next(iter(self.of[self.all[at - 1]].items()))
+        return self.all[at - 1], group, n
+
+
+def planned(counts: dict[int, int], capacity: int, groups: int, large: float) -> tuple[list[Run], int]:
+    """One plan, with the lengths beyond the part `large` of the capacity in `groups` groups; see plan()."""
     runs: list[Run] = []
     given = dict.fromkeys(counts, 0)
     bins, sequences = Bins(), 0
@@ -135,54 +188,59 @@ def plan(counts: dict[int, int], capacity: int, groups: int = 40, large: float =
         put(length, counts[length], sequences, 0)
         sequences += counts[length]
     big = {x: n for x, n in counts.items() if capacity * large < x < capacity and n}
-    dealt = grouped(big, groups)
+    dealt = grouped(big, groups) if groups else []
     if dealt:
         # groups of one rounded length are one size
         sizes = np.array(sorted({g[0] for g in dealt}, reverse=True))
-        queue: list[list[tuple[int, int]]] = [[p for g in dealt if g[0] == s for p in g[1]] for s in sizes]
-        demand = np.array([sum(n for _, n in q) for q in queue])
-        basis, used = patterns(sizes, demand, capacity)
+        left = Left(dealt, sizes)
+        basis, used = patterns(sizes, left.demand, capacity)
         for k in np.argsort(-used, kind="stable"):
             column, times = basis[:, k], int(used[k] + 1e-6)
-            times = min([times, *(int(demand[i] // column[i]) for i in np.flatnonzero(column))])
+            times = min([times, *(int(left.demand[i] // column[i]) for i in np.flatnonzero(column))])
             if not times or not column.any():
                 continue
-            # actual pieces take the places of rounded ones: sequences of this pattern are cut where a length changes
+            # actual pieces take the places of rounded ones, each the largest of its group; the last place of a sequence
+            # goes to the largest piece of all that fits the room that the others have left in fact
+            places = [int(i) for i in np.flatnonzero(column) for _ in range(column[i])]
             room = [(capacity, sequences, times)]
             sequences += times
-            for i in np.flatnonzero(column):
-                demand[i] -= column[i] * times
-                for _ in range(column[i]):
-                    after = []
-                    for left, first, n in room:
-                        while n:
-                            length, have = queue[i][0]
-                            m = min(n, have)
-                            put(length, m, first, capacity - left)
-                            after.append((left - length, first, m))
-                            first, n = first + m, n - m
-                            if have == m:
-                                queue[i].pop(0)
-                            else:
-                                queue[i][0] = (length, have - m)
-                    room = after
-            for left, first, n in room:
-                bins.add(left, first, n)
+            for i in places[:-1]:
+                after = []
+                for free, first, n in room:
+                    while n:
+                        length, have = left.largest(i)
+                        m = min(n, have)
+                        put(length, m, first, capacity - free)
+                        left.take(length, i, m)
+                        after.append((free - length, first, m))
+                        first, n = first + m, n - m
+                room = after
+            for free, first, n in room:
+                while n:
+                    found = left.fitting(free)
+                    if found is None:
+                        bins.add(free, first, n)
+                        break
+                    length, group, have = found
+                    m = min(n, have)
+                    put(length, m, first, capacity - free)
+                    left.take(length, group, m)
+                    bins.add(free - length, first, m)
+                    first, n = first + m, n - m
     for length in sorted(counts, reverse=True):
-        left = counts[length] - given[length]
-        while left:
-            found = bins.take(length, left)
+        rest = counts[length] - given[length]
+        while rest:
+            found = bins.take(length, rest)
             if found is None:
-                each = capacity // length if length else left  # a new sequence takes as many of this length as it can
-                full = -(-left // each)
-                found = (capacity, sequences, full)
+                each = capacity // length if length else rest  # a new sequence takes as many of this length as it can
+                full = -(-rest // each)
                 sequences += full
-                bins.add(capacity, found[1], full)
+                bins.add(capacity, sequences - full, full)
                 continue
-            room, first, n = found
-            put(length, n, first, capacity - room)
-            bins.add(room - length, first, n)
-            left -= n
+            room_, first, n = found
+            put(length, n, first, capacity - room_)
+            bins.add(room_ - length, first, n)
+            rest -= n
     return runs, sequences
 
 
