@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from studygraph.functions.literals import can_match
 from studygraph.operators import rules as R
 
 # Activities that are collected every day.
@@ -34,6 +35,7 @@ COLLECTION_DAYS = (
     r"(?i)(?:morning|am)\s+(?:of\s+)?day\s+\d+\s+to\s+(?:morning|am)\s+(?:of\s+)?day\s+\d+",
     r"(?i)(?:complete\s+)?24[\-\s]?hour\s+(?:urine|stool|feces|collection)",
 )
+_DETAIL = "array<struct<kind: string, confidence: double, place: int, match: string, interval: string, observations: int, cycle_length: string, start_offset: string, end_offset: string, exit_condition: string>>"
 #: How far around a find its days are looked for.
 AROUND = 200
 
@@ -136,10 +138,12 @@ def repetition_details(rows: DataFrame, text: str, keys: list[str]) -> DataFrame
                 start.alias("start_offset"), end.alias("end_offset"), leaves.alias("exit_condition"),
             )
 
-        return F.transform(finds(t, f"(?i){pattern}"), told)
+        found = F.transform(finds(t, f"(?i){pattern}"), told)
+        return F.when(can_match(F.col("_low"), pattern), found).otherwise(F.array().cast(_DETAIL))
 
     found = F.flatten(F.array(*(one(p, k, c) for p, k, c in R.REPETITIONS)))
-    return rows.select(*keys, F.col(text).alias("_t")).select(*keys, F.explode(found).alias("_r")).select(*keys, "_r.*")
+    given = rows.select(*keys, F.col(text).alias("_t"), F.lower(text).alias("_low"))
+    return given.select(*keys, F.explode(found).alias("_r")).select(*keys, "_r.*")
 
 
 def _groups(pattern: str) -> int:

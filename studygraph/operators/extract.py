@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from studygraph.functions.literals import can_match
 from studygraph.operators import rules as R
 from studygraph.operators.rules import ANCHORS, EXECUTION_TYPES, REPETITIONS, Rule
 
@@ -58,6 +59,11 @@ TRANSITIONS: tuple[tuple[str, str, str], ...] = (
 )
 
 
+def all_matches(low: Column, pattern: str) -> Column:
+    """All matches of a pattern in a text in lower case; the pattern is tried where a text that it needs is there."""
+    return F.when(can_match(low, pattern), F.regexp_extract_all(low, F.lit(f"({pattern})"), 1)).otherwise(F.array().cast("array<string>"))
+
+
 def lowered(df: DataFrame, text: str, id_: Sequence[str]) -> DataFrame:
     """(id, _low): the text in lower case, as a column that every pattern reads; null is the empty text. Other columns of
     df, whatever their names, are not looked at."""
@@ -89,7 +95,7 @@ def rule_hits(df: DataFrame, text: str, rules: Sequence[Rule], id_: Sequence[str
     rest = [c for c in df.columns if c != text] if id_ is None else list(id_)
     low = F.col("_low")
     hits = F.array(*[
-        F.struct(F.lit(i).alias("rule_no"), F.lit(kind).alias("kind"), F.lit(c).alias("confidence"), F.regexp_extract_all(low, F.lit(f"({p})"), 1).alias("found")) for i, (p, kind, c) in enumerate(rules, 1)
+        F.struct(F.lit(i).alias("rule_no"), F.lit(kind).alias("kind"), F.lit(c).alias("confidence"), all_matches(low, p).alias("found")) for i, (p, kind, c) in enumerate(rules, 1)
     ])
     kept = F.filter(hits, lambda h: F.size(h["found"]) > 0)
     return lowered(df, text, rest).select(*rest, F.explode(kept).alias("_h")).select(*rest, "_h.rule_no", "_h.kind", "_h.confidence", F.size("_h.found").cast("long").alias("n"), F.element_at("_h.found", 1).alias("first"))
@@ -99,7 +105,7 @@ def first_per_kind(df: DataFrame, text: str, id_: Sequence[str], rules: Sequence
     """Of each text and kind the first rule that matches: confidence, first match and number of matches. Each text is looked
     at by itself, so repeated ids give repeated rows."""
     low = F.col("_low")
-    hits = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("confidence"), F.regexp_extract_all(low, F.lit(f"({p})"), 1).alias("found")) for p, kind, c in rules])
+    hits = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("confidence"), all_matches(low, p).alias("found")) for p, kind, c in rules])
     rows = lowered(df, text, id_).withColumn("_hits", F.filter(hits, lambda h: F.size(h["found"]) > 0))
     kinds = F.transform("_hits", lambda h: h["kind"])
     leading = F.filter("_hits", lambda h, i: F.array_position(kinds, h["kind"]) == i + 1)
@@ -110,7 +116,7 @@ def anchors(df: DataFrame, text: str, id_: Sequence[str]) -> DataFrame:
     """The time anchors of each text, one of each type, by the first rule that matches: kind, definition, confidence, day
     (told in the match or within 100 characters of it, else 1) and first (the match). Null is the empty text."""
     low = F.col("_low")
-    hits = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("confidence"), F.regexp_extract(low, f"({p})", 1).alias("first")) for p, kind, c in R.ANCHORS])
+    hits = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("confidence"), F.when(can_match(low, p), F.regexp_extract(low, f"({p})", 1)).otherwise("").alias("first")) for p, kind, c in R.ANCHORS])
     rows = lowered(df, text, id_).withColumn("_hits", F.filter(hits, lambda h: h["first"] != ""))
     kinds = F.transform("_hits", lambda h: h["kind"])
     found = rows.select(*id_, "_low", F.explode(F.filter("_hits", lambda h, i: F.array_position(kinds, h["kind"]) == i + 1)).alias("_h")).select(*id_, "_low", "_h.*")
@@ -124,7 +130,7 @@ def anchors(df: DataFrame, text: str, id_: Sequence[str]) -> DataFrame:
 def best_kind(df: DataFrame, text: str, id_: Sequence[str], rules: Sequence[Rule], default: str) -> DataFrame:
     """Each text's kind with the most matches of its rules together, then the highest confidence of those that match, then
     the first in the order of rules; without a match the default at 0.5."""
-    counts = F.array(*[F.regexp_count("_low", F.lit(p)) for p, _, _ in rules])
+    counts = F.array(*[F.when(can_match(F.col("_low"), p), F.regexp_count("_low", F.lit(p))).otherwise(0) for p, _, _ in rules])
     rows = lowered(df, text, id_).select(*id_, counts.alias("_n"))
     scores = []
     for order, kind in enumerate(dict.fromkeys(k for _, k, _ in rules)):

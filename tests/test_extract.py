@@ -77,3 +77,14 @@ def test_empty_tables(spark):
     none = rows(spark, ["x"]).limit(0)
     for f in (extract.anchors, extract.crossovers, extract.traversals, extract.endpoints, extract.derived_variables):
         assert f(none, "t", ["k"]).count() == 0
+
+
+def test_texts_that_patterns_need():
+    """Whatever a rule matches holds one of its required texts, and most rules have one."""
+    from studygraph.functions.literals import required
+    from studygraph.operators import rules as R
+
+    assert required(r"(?:24|48)[\s-]*(?:hour|hr)\s+blood\s+pressure") == ("pressure",)
+    assert required(r"x?(?:a|bc)*") == () and required(r"on(?:ce)?\s+daily") == ("daily",) and set(required(r"(?:day|week)s?\s*\d+")) == {"day", "week"}
+    patterns = [r[0] for r in (*R.ANCHORS, *R.REPETITIONS, *R.EXECUTION_TYPES)]
+    assert sum(bool(required(p)) and min(map(len, required(p))) > 2 for p in patterns) > 0.8 * len(patterns)
