@@ -85,25 +85,38 @@ def activities(contributions: DataFrame, groups: DataFrame) -> DataFrame:
     return found.join(heads, ["protocol_id", "key"], "left_anti").withColumn("place", F.row_number().over(w))
 
 
-def visit_rank(wanted: Column, name: Column) -> Column:
-    """How well an encounter's name answers to a visit that is asked for: 1 equal, 2 one holds the other, 3 both mean the
-    same visit, 4 same week, 5 same visit number, 6 same day; null where not at all."""
-    a, b = T.normalize_name(wanted), T.normalize_name(name)
-    same = F.lit(False)
-    for _, words in ALIASES:
-        has = lambda c, words=words: F.coalesce(*[F.when(F.contains(c, F.lit(w)), True) for w in words], F.lit(False))
-        same = same | (has(a) & has(b))
-    out = F.when(a == b, 1).when((a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a)), 2).when(same, 3)
+def visit_facts(name: Column) -> Column:
+    """What two names of visits are compared by: struct<plain, kinds, week, visit, day>; kinds has a bit for each group of
+    ALIASES that the name has a word of. Nulls where the name has no such part."""
+    plain = T.normalize_name(name)
+    kinds = F.lit(0)
+    for bit, (_, words) in enumerate(ALIASES):
+        some = F.lit(False)
+        for w in words:
+            some = some | F.contains(plain, F.lit(w))
+        kinds = kinds + F.when(some, 1 << bit).otherwise(0)
+    return F.struct(plain.alias("plain"), kinds.alias("kinds"), *(T.number_after(name, word).alias(word) for word in ("week", "visit", "day")))
+
+
+def visit_rank(wanted: Column, found: Column) -> Column:
+    """How well one visit answers to another that is asked for, both as visit_facts(): 1 equal, 2 one name holds the other,
+    3 both mean the same visit, 4 same week, 5 same visit number, 6 same day; null where not at all."""
+    a, b = wanted["plain"], found["plain"]
+    out = F.when(a == b, 1).when((a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a)), 2).when(wanted["kinds"].bitwiseAND(found["kinds"]) != 0, 3)
     for tier, word in ((4, "week"), (5, "visit"), (6, "day")):
-        out = out.when(T.number_after(wanted, word) == T.number_after(name, word), tier)
+        out = out.when(wanted[word] == found[word], tier)
     return out
 
 
 def resolve_visits(asked: DataFrame, encounters: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, wanted, id, tier) for each visit asked for by name (protocol_id, wanted): the encounter of its document
-    (id, name, pos) with the best rank, then the first; null where none answers."""
-    e = encounters.select("protocol_id", F.col("id").alias("_id"), F.col("name").alias("_name"), F.col("pos").alias("_pos"))
-    ranked = asked.join(e, "protocol_id").withColumn("tier", visit_rank(F.col("wanted"), F.col("_name"))).filter("tier IS NOT NULL")
+    (id, name, pos) with the best rank, then the first; null where none answers, also where wanted or all names are null.
+
+    Names are taken apart once for each row, before a document's visits meet its encounters, which are as few as the columns
+    of its schedule; what meets then are numbers and short texts."""
+    e = encounters.select("protocol_id", F.col("id").alias("_id"), F.col("pos").alias("_pos"), visit_facts(F.col("name")).alias("_f"))
+    w = asked.select(*dict.fromkeys(["protocol_id", *keys]), "wanted", visit_facts(F.col("wanted")).alias("_w"))
+    ranked = w.join(e, "protocol_id").withColumn("tier", visit_rank(F.col("_w"), F.col("_f"))).filter("tier IS NOT NULL")
     best = ranked.groupBy(*keys, "wanted").agg(F.min_by(F.struct(F.col("_id").alias("id"), "tier"), F.struct("tier", "_pos")).alias("_b"))
     return asked.select(*keys, "wanted").join(best, [*keys, "wanted"], "left").select(*keys, "wanted", "_b.id", "_b.tier")
 

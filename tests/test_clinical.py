@@ -61,3 +61,13 @@ def test_every_query_runs(spark):
     for name, run in queries().items():
         if name not in oracle_sql():
             assert run(spark, "/root/testdata/sf0.001").agg(F.count("*")).first()[0] > (-1 if name == "fuzzy_ratcliff" else 0), name  # the smallest tables have no such names
+
+
+def test_visits_resolved_on_odd_rows(spark):
+    encounters = spark.createDataFrame([(1, "a", "Week 4", 2), (1, "b", "WEEK 4 ", 1), (1, "c", None, 0), (1, "d", "", 3), (2, "e", "End of Study", 1), (None, "f", "Week 4", 1), (1, "g", "Day 29 visit", 4)], "protocol_id int, id string, name string, pos int")
+    asked = spark.createDataFrame([(1, "week 4"), (1, None), (1, ""), (2, "EOS"), (3, "week 4"), (None, "week 4"), (1, "at day 29"), (1, "visit 9")], "protocol_id int, wanted string")
+    got = {(r["protocol_id"], r["wanted"]): (r["id"], r["tier"]) for r in clinical.resolve_visits(asked, encounters, ["protocol_id"]).collect()}
+    assert got[1, "week 4"] == ("b", 1) and got[1, ""] == ("d", 1) and got[2, "EOS"] == ("e", 3) and got[1, "at day 29"] == ("g", 6)
+    assert {got[k] for k in ((1, None), (3, "week 4"), (None, "week 4"), (1, "visit 9"))} == {(None, None)} and len(got) == 8
+    empty = clinical.resolve_visits(asked, encounters.limit(0), ["protocol_id"]).collect()
+    assert len(empty) == 8 and all(r["id"] is None for r in empty) and clinical.resolve_visits(asked.limit(0), encounters, ["protocol_id"]).count() == 0
