@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studygraph.functions.text import first_rule
+from studygraph.operators.nested import bound
 
 # The kinds of conditions, in the order in which they are tried.
 TIMING = (
@@ -87,15 +88,18 @@ def footnotes(text: Column) -> Column:
     than 800 characters. Null gives an empty array."""
     out = []
     for pattern, inside, name in LAYOUTS:
-        found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(F.format_string(name.replace("{}", "%s"), F.regexp_extract(m, inside, 1)).alias("marker"), _flat(F.regexp_extract(m, inside, 2)).alias("note")))
+        matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        if RAISED in pattern:  # slow to look for, and rare
+            matches = F.when(text.rlike(RAISED), matches)
+        found = F.transform(matches, lambda m: F.struct(F.format_string(name.replace("{}", "%s"), F.regexp_extract(m, inside, 1)).alias("marker"), _flat(F.regexp_extract(m, inside, 2)).alias("note")))
         out.append(F.filter(found, lambda x: _fits(x["note"])))
     out[3] = F.filter(out[3], lambda x: ~x["note"].rlike("^(?:Table|Figure|Section)"))
     all_ = F.concat(*(F.coalesce(x, _none()) for x in out))
     for pattern in SECTIONS:
         parts = F.filter(F.transform(F.split(F.regexp_extract(text, pattern, 1), r"\n(?=[a-z][.)])"), stripped), _fits)
         told = F.filter(F.transform(parts, lambda p: F.struct(F.nullif(F.regexp_extract(p, r"^([a-z])[.)]\s*", 1), F.lit("")).alias("marker"), F.regexp_replace(F.regexp_replace(p, r"^[a-z][.)]\s*", ""), r"\s+", " ").alias("note"))), lambda x: x["note"] != "")
-        numbered = lambda x, i: F.struct(F.coalesce(x["marker"], F.concat(F.lit("fn_"), F.size(all_) + i + 1)).alias("marker"), x["note"].alias("note"))
-        all_ = F.concat(all_, F.coalesce(F.transform(told, numbered), _none()))
+        numbered = lambda before: F.transform(told, lambda x, i: F.struct(F.coalesce(x["marker"], F.concat(F.lit("fn_"), F.size(before) + i + 1)).alias("marker"), x["note"].alias("note")))
+        all_ = bound(all_, lambda before: F.concat(before, F.coalesce(numbered(before), _none())))
     return all_
 
 
@@ -116,8 +120,8 @@ def distinct(notes: Column) -> Column:
     ready = F.transform(notes, lambda x: F.struct(x["marker"].alias("marker"), x["note"].alias("note"), plain(x["note"]).alias("plain"), F.array_distinct(F.filter(F.split(plain(x["note"]), " "), lambda w: w != "")).alias("words")))
     shared = lambda x, y: F.size(F.array_intersect(x["words"], y["words"])) > F.size(F.array_union(x["words"], y["words"])) * 0.8
     alike = lambda x, y: F.contains(y["plain"], x["plain"]) | F.contains(x["plain"], y["plain"]) | shared(x, y)
-    none = F.filter(ready, lambda _: F.lit(False))
-    return F.aggregate(ready, none, lambda kept, x: F.when(F.exists(kept, lambda y: alike(x, y)), kept).otherwise(F.concat(kept, F.array(x))))
+    with_next = lambda kept, x: F.when(F.exists(kept, lambda y: alike(x, y)), kept).otherwise(F.concat(kept, F.array(x)))
+    return bound(ready, lambda all_: F.aggregate(all_, F.filter(all_, lambda _: F.lit(False)), with_next))
 
 
 def condition(note: Column) -> Column:
