@@ -56,7 +56,9 @@ def fuzzy_ratcliff(spark, sf_dir):
     """Part names against the names of parts of one brand and size, by Ratcliff-Obershelp ratio."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", F.lower("p_name").alias("name"))
     q = p.select(F.col("p_partkey").alias("other_key"), "p_brand", "p_size", F.col("name").alias("other"))
-    return p.join(q, ["p_brand", "p_size"]).filter("p_partkey < other_key").withColumn("ratio", match.ratcliff_ratio("name", "other")).filter("ratio >= 0.6").select("p_partkey", "other_key", F.round("ratio", 6).alias("ratio"))
+    alike = match.ratcliff_names(p.select("p_brand", "p_size", "name"), ["p_brand", "p_size"], "name", 0.6)
+    pairs = p.join(alike, "name").join(q, ["p_brand", "p_size", "other"]).filter("p_partkey < other_key")
+    return pairs.select("p_partkey", "other_key", F.round("ratio", 6).alias("ratio"))
 
 
 @query("greedy_match")
