@@ -66,8 +66,7 @@ def greedy_match(spark, sf_dir):
     """Customers matched one to one with the suppliers of their nation, by edit similarity of their names."""
     c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("id"), F.replace("c_name", F.lit("Customer"), F.lit("Entity")).alias("n"))
     s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("id"), F.replace("s_name", F.lit("Supplier"), F.lit("Entity")).alias("n"))
-    pairs = match.levenshtein_pairs(c, s, "k", "n", 0.7)
-    return match.greedy_match(pairs, "k", "l_id", "r_id", "similarity", 0.7)
+    return match.greedy_names(c, s, "k", "id", "n", 0.7)
 
 
 @query("leader_clusters")
