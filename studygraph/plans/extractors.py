@@ -226,10 +226,11 @@ WITH r AS (SELECT c_custkey, CAST(c_custkey % 200 AS INTEGER) AS lo, CAST(c_cust
 SELECT r.c_custkey, sum(n)::BIGINT AS bound FROM r JOIN d ON day BETWEEN lo AND hi GROUP BY 1
 """)
 def day_range_join(spark, sf_dir):
-    """Instances whose day lies in a repetition's range: ranges are spread to days, so the join is on equal days."""
+    """Instances whose day lies in a repetition's range: ranges are spread to days, so the join is on equal days. What is
+    sent to all tasks are the days of a year with their counts, 366 rows at most, and never the ranges."""
     r = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.sequence((F.col("c_custkey") % 200).cast("int"), (F.col("c_custkey") % 200 + 10).cast("int"))).alias("day"))
     per_day = table(spark, sf_dir, "orders").groupBy(F.dayofyear("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
-    return r.join(per_day, "day").groupBy("c_custkey").agg(F.sum("n").alias("bound"))
+    return r.join(F.broadcast(per_day), "day").groupBy("c_custkey").agg(F.sum("n").alias("bound"))
 
 
 @query("group_header_filter", "SELECT p_partkey FROM part WHERE lower(p_name) NOT IN (SELECT lower(p_name) FROM part WHERE p_partkey % 50 = 0)")

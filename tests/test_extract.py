@@ -88,3 +88,11 @@ def test_texts_that_patterns_need():
     assert required(r"x?(?:a|bc)*") == () and required(r"on(?:ce)?\s+daily") == ("daily",) and set(required(r"(?:day|week)s?\s*\d+")) == {"day", "week"}
     patterns = [r[0] for r in (*R.ANCHORS, *R.REPETITIONS, *R.EXECUTION_TYPES)]
     assert sum(bool(required(p)) and min(map(len, required(p))) > 2 for p in patterns) > 0.8 * len(patterns)
+
+
+def test_ranges_stay_where_they_are(spark):
+    """The join sends the counted days to all tasks, not the ranges, which grow with the customers."""
+    from studygraph import plans
+
+    plan = plans.queries()["day_range_join"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
