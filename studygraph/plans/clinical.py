@@ -17,7 +17,7 @@ WITH x AS (SELECT k, label, nullif(regexp_extract(label, '{clinical.TIMING}', 1)
 SELECT k, label, coalesce(nullif(rest, ''), label) AS name, timing FROM x
 """)
 def split_timing(spark, sf_dir):
-    return labels(spark, sf_dir, NAMES).withColumn("s", clinical.split_timing(F.col("label"))).select("k", "label", "s.name", "s.timing")
+    return labels(spark, sf_dir, NAMES, s=clinical.split_timing(F.col("label"))).select("k", "label", "s.name", "s.timing")
 
 
 @query("clean_text", "SELECT conv_id, turn, trim(regexp_replace(regexp_replace(text || chr(9) || 'x' || chr(127) || chr(10), '[\\x00-\\x1f\\x7f-\\x9f]', ' ', 'g'), ' +', ' ', 'g')) AS text FROM conversations")

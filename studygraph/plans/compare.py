@@ -28,7 +28,7 @@ SELECT k, pos, length(label) BETWEEN 15 AND 800 AND label <> upper(label) AND le
 FROM {values_sql(NOTES)}
 """)
 def note_validity(spark, sf_dir):
-    return labels(spark, sf_dir, NOTES).select("k", "pos", compare.valid_note(F.col("label"), KEYWORDS, NOISE).alias("valid"))
+    return labels(spark, sf_dir, NOTES, valid=compare.valid_note(F.col("label"), KEYWORDS, NOISE)).select("k", "pos", "valid")
 
 
 @query("note_merge", """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studygraph.functions import text as T
@@ -13,9 +13,10 @@ VISITS = ("Screening", "Baseline Visit", "Day 1", "Day -7", "Day −14 (±2 days
 DOSES = ("5 mg once daily", "10-20 mg BID", "0.5 to 1.5 mL IV weekly", "300 IU q2w", "placebo", "75 mg/m2 every 3 weeks", "apply daily", "2 g")
 
 
-def labels(spark: SparkSession, sf_dir: str, values: tuple[str, ...]) -> DataFrame:
-    """Every label with the number of every customer, so that each has several rows; the labels are a fixed list."""
-    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "pos int, label string")
+def labels(spark: SparkSession, sf_dir: str, values: tuple[str, ...], **facts: Column) -> DataFrame:
+    """Every label with the number of every customer, so that each has several rows; the labels are a fixed list. facts are
+    further columns over label, which are computed once a label before it meets the customers."""
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "pos int, label string").withColumns(facts)
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).crossJoin(F.broadcast(rows))
 
 
@@ -76,7 +77,8 @@ _DAY_SQL = f"""coalesce({_number_sql('day')}, ({_number_sql('week')} - 1) * 7 +
 @query("day_extract", f"SELECT k, label, {_number_sql('day')} AS day, {_number_sql('week')} AS week, {_number_sql('visit')} AS visit, {_DAY_SQL} AS study_day FROM {values_sql(VISITS)}")
 def day_extract(spark, sf_dir):
     c = F.col("label")
-    return labels(spark, sf_dir, VISITS).select("k", "label", T.number_after(c, "day").alias("day"), T.number_after(c, "week").alias("week"), T.number_after(c, "visit").alias("visit"), T.study_day(c).alias("study_day"))
+    facts = {word: T.number_after(c, word) for word in ("day", "week", "visit")}
+    return labels(spark, sf_dir, VISITS, **facts, study_day=T.study_day(c)).select("k", "label", *facts, "study_day")
 
 
 def _window_sql(side: int) -> str:
@@ -94,8 +96,9 @@ d AS (SELECT k, label, CASE WHEN a = 0 AND b = 0 THEN {_default_sql(1)} ELSE b E
 SELECT k, label, before, after, 'Day ' || {_DAY_SQL} || ' (−' || before || '/+' || after || ')' AS window_label FROM d
 """)
 def window_extract(spark, sf_dir):
-    rows = labels(spark, sf_dir, VISITS).withColumn("w", T.visit_window(F.col("label"), F.col("label")))
-    return rows.select("k", "label", "w.before", "w.after", T.window_label(T.study_day(F.col("label")), F.col("w.before"), F.col("w.after")).alias("window_label"))
+    c = F.col("label")
+    w = T.visit_window(c, c)
+    return labels(spark, sf_dir, VISITS, before=w["before"], after=w["after"], window_label=T.window_label(T.study_day(c), w["before"], w["after"])).select("k", "label", "before", "after", "window_label")
 
 
 _DOSE_SQL = r"([0-9]+(?:\.[0-9]+)?)(?:\s*(?:-|to)\s*([0-9]+(?:\.[0-9]+)?))?\s*(mg|mcg|ml|iu|units|g)(?:[^a-z]|$)"
@@ -108,8 +111,8 @@ WITH d AS (SELECT k, label, TRY_CAST(nullif(regexp_extract(lower(label), '{_DOSE
 SELECT k, label, low, coalesce(hi, low) AS high, unit, CASE {' '.join(f"WHEN regexp_matches(lower(label), '{p}') THEN '{v}'" for p, v in FREQUENCIES)} ELSE 'QD' END AS frequency FROM d
 """)
 def dose_extract(spark, sf_dir):
-    rows = labels(spark, sf_dir, DOSES).withColumn("d", T.dose(F.col("label")))
-    return rows.select("k", "label", "d.low", "d.high", "d.unit", T.first_rule(F.lower("label"), FREQUENCIES, "QD", regex=True).alias("frequency"))
+    rows = labels(spark, sf_dir, DOSES, d=T.dose(F.col("label")), frequency=T.first_rule(F.lower("label"), FREQUENCIES, "QD", regex=True))
+    return rows.select("k", "label", "d.low", "d.high", "d.unit", "frequency")
 
 
 @query("iso_duration", """
@@ -140,7 +143,7 @@ ENCOUNTER_TYPES = (
 
 @query("encounter_type", f"SELECT k, label, CASE {' '.join(f"WHEN contains(lower(label), '{w}') THEN '{v}'" for w, v in ENCOUNTER_TYPES)} ELSE 'Study Visit' END AS kind FROM {values_sql(VISITS)}")
 def encounter_type(spark, sf_dir):
-    return labels(spark, sf_dir, VISITS).select("k", "label", T.first_rule(F.lower("label"), ENCOUNTER_TYPES, "Study Visit").alias("kind"))
+    return labels(spark, sf_dir, VISITS, kind=T.first_rule(F.lower("label"), ENCOUNTER_TYPES, "Study Visit")).select("k", "label", "kind")
 
 
 PART_RULES = (("STEEL", "metal"), ("COPPER", "metal"), ("BRASS", "alloy"), ("TIN", "metal"), ("ECONOMY", "cheap"), ("PROMO", "offer"))
