@@ -108,14 +108,15 @@ def visit_rank(wanted: Column, found: Column) -> Column:
     return out
 
 
-def resolve_visits(asked: DataFrame, encounters: DataFrame, keys: list[str]) -> DataFrame:
+def resolve_visits(asked: DataFrame, encounters: DataFrame, keys: list[str], facts: str | None = None) -> DataFrame:
     """(keys, wanted, id, tier) for each visit asked for by name (protocol_id, wanted): the encounter of its document
     (id, name, pos) with the best rank, then the first; null where none answers, also where wanted or all names are null.
 
     Names are taken apart once for each row, before a document's visits meet its encounters, which are as few as the columns
-    of its schedule; what meets then are numbers and short texts."""
-    e = encounters.select("protocol_id", F.col("id").alias("_id"), F.col("pos").alias("_pos"), visit_facts(F.col("name")).alias("_f"))
-    w = asked.select(*dict.fromkeys(["protocol_id", *keys]), "wanted", visit_facts(F.col("wanted")).alias("_w"))
+    of its schedule; what meets then are numbers and short texts. Where both tables hold visit_facts() of their names
+    already, facts is that column."""
+    e = encounters.select("protocol_id", F.col("id").alias("_id"), F.col("pos").alias("_pos"), (F.col(facts) if facts else visit_facts(F.col("name"))).alias("_f"))
+    w = asked.select(*dict.fromkeys(["protocol_id", *keys]), "wanted", (F.col(facts) if facts else visit_facts(F.col("wanted"))).alias("_w"))
     ranked = w.join(e, "protocol_id").withColumn("tier", visit_rank(F.col("_w"), F.col("_f"))).filter("tier IS NOT NULL")
     best = ranked.groupBy(*keys, "wanted").agg(F.min_by(F.struct(F.col("_id").alias("id"), "tier"), F.struct("tier", "_pos")).alias("_b"))
     return asked.select(*keys, "wanted").join(best, [*keys, "wanted"], "left").select(*keys, "wanted", "_b.id", "_b.tier")

@@ -57,9 +57,10 @@ def dose_elements(spark, sf_dir):
 @query("visit_resolver")
 def visit_resolver(spark, sf_dir):
     """Every label of a visit resolved among all of them, in each nation's document."""
-    e = labels(spark, sf_dir, VISITS).select(F.col("k").alias("protocol_id"), F.col("pos").cast("string").alias("id"), F.col("label").alias("name"), "pos")
-    asked = labels(spark, sf_dir, ("EOS", "Week 4", "baseline", "Day 29", "Visit 3 of 5", "Safety visit", "none of these")).select(F.col("k").alias("protocol_id"), F.col("label").alias("wanted"))
-    return clinical.resolve_visits(asked, e, ["protocol_id"])
+    facts = clinical.visit_facts(F.col("label"))
+    e = labels(spark, sf_dir, VISITS, facts=facts).select(F.col("k").alias("protocol_id"), F.col("pos").cast("string").alias("id"), F.col("label").alias("name"), "pos", "facts")
+    asked = labels(spark, sf_dir, ("EOS", "Week 4", "baseline", "Day 29", "Visit 3 of 5", "Safety visit", "none of these"), facts=facts).select(F.col("k").alias("protocol_id"), F.col("label").alias("wanted"), "facts")
+    return clinical.resolve_visits(asked, e, ["protocol_id"], "facts")
 
 
 @query("golden_similarity")

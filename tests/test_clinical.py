@@ -71,3 +71,11 @@ def test_visits_resolved_on_odd_rows(spark):
     assert {got[k] for k in ((1, None), (3, "week 4"), (None, "week 4"), (1, "visit 9"))} == {(None, None)} and len(got) == 8
     empty = clinical.resolve_visits(asked, encounters.limit(0), ["protocol_id"]).collect()
     assert len(empty) == 8 and all(r["id"] is None for r in empty) and clinical.resolve_visits(asked.limit(0), encounters, ["protocol_id"]).count() == 0
+
+
+def test_visits_with_known_facts(spark):
+    """Facts that the tables hold already give what names do."""
+    e = spark.createDataFrame([(1, "a", "Screening", 0), (1, "b", "Week 4", 1), (2, "c", None, 0)], "protocol_id int, id string, name string, pos int")
+    asked = spark.createDataFrame([(1, "week 4 visit"), (1, "screen"), (2, "Day 1"), (1, None)], "protocol_id int, wanted string")
+    known = clinical.resolve_visits(asked.withColumn("f", clinical.visit_facts(F.col("wanted"))), e.withColumn("f", clinical.visit_facts(F.col("name"))), ["protocol_id"], "f")
+    assert sorted(map(str, known.collect())) == sorted(map(str, clinical.resolve_visits(asked, e, ["protocol_id"]).collect()))
