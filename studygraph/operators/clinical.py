@@ -66,9 +66,17 @@ def epochs(contributions: DataFrame) -> DataFrame:
     return out.withColumns({"place": F.row_number().over(w), "previous_id": F.lag("id").over(w), "next_id": F.lead("id").over(w)}).drop("_s")
 
 
+#: Contributions that one task takes of encounters().
+ROWS = 200_000
+
+
 def encounters(contributions: DataFrame) -> DataFrame:
-    """Encounters with an epoch: window bounds come from one source together; study day from the source or the name."""
-    c = contributions.withColumn("window", F.when(F.col("window_before").isNotNull() | F.col("window_after").isNotNull(), F.struct("window_before", "window_after"))).drop("window_before", "window_after")
+    """Encounters with an epoch: window bounds come from one source together; study day from the source or the name.
+    Contributions are dealt by document to tasks of about ROWS each, so that what a task holds does not grow with them; how
+    many there are comes from a count. Merging and ordering both stay within these."""
+    many = max(1, -(-contributions.count() // ROWS), int(contributions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    c = contributions.repartition(many, "protocol_id")
+    c = c.withColumn("window", F.when(F.col("window_before").isNotNull() | F.col("window_after").isNotNull(), F.struct("window_before", "window_after"))).drop("window_before", "window_after")
     found = reconciled(c, {"epoch_id": "first", "study_day": "first", "window": "first"}).filter("epoch_id IS NOT NULL")
     found = found.withColumn("study_day", F.coalesce("study_day", T.number_after(F.col("name"), "day"))).withColumn("study_week", T.number_after(F.col("name"), "week"))
     kind = T.first_rule(F.lower("name"), (("screening", "Screening Visit"), ("baseline", "Baseline Visit"), ("follow-up", "Follow-up Visit")), "Study Visit")

@@ -79,3 +79,11 @@ def test_visits_with_known_facts(spark):
     asked = spark.createDataFrame([(1, "week 4 visit"), (1, "screen"), (2, "Day 1"), (1, None)], "protocol_id int, wanted string")
     known = clinical.resolve_visits(asked.withColumn("f", clinical.visit_facts(F.col("wanted"))), e.withColumn("f", clinical.visit_facts(F.col("name"))), ["protocol_id"], "f")
     assert sorted(map(str, known.collect())) == sorted(map(str, clinical.resolve_visits(asked, e, ["protocol_id"]).collect()))
+
+
+def test_encounters_in_as_many_tasks_as_they_need(spark, monkeypatch):
+    """More contributions make more tasks, not larger ones, and they move once."""
+    monkeypatch.setattr(clinical, "ROWS", 100)
+    plan = queries()["encounter_reconcile"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    rows = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count() * 27
+    assert f", {-(-rows // 100)}), REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 1
