@@ -19,8 +19,9 @@ TIMING = (
     (r"(?:after|following)\s+(.+)", "timing_after", 0.80),
     (r"(?:at|on)\s+(?:day|week)\s+(\d+)", "timing_at", 0.85),
     (r"(?:at|during)\s+(?:each|every)\s+(?:visit|timepoint)", "timing_recurring", 0.85),
-    (r"(.+)\s+(?:then|followed\s+by)\s+(.+)", "sequence", 0.85),
-    (r"(.+)\s+(?:before|prior\s+to)\s+(.+)\s+(?:before|prior\s+to)\s+(.+)", "sequence", 0.90),
+    # one character on either side is enough: .+ would be tried from every place of the note to its end
+    (r".\s+(?:then|followed\s+by)\s+.", "sequence", 0.85),
+    (r".\s+(?:before|prior\s+to)\s+.+\s+(?:before|prior\s+to)\s+.", "sequence", 0.90),
 )
 ELIGIBILITY = (
     (r"(?:only\s+)?(?:for|in)\s+(?:women|female)\s+(?:of\s+)?(?:childbearing|reproductive)\s+(?:potential|age)", "eligibility_wocbp", 0.95),
@@ -51,6 +52,8 @@ RELEVANT = (
 )
 # The characters that raise a mark, and the layouts.
 RAISED = r"[\^ᵃᵇᶜᵈᵉᶠᵍʰⁱʲᵏˡᵐⁿᵒᵖʳˢᵗᵘᵛʷˣʸᶻ]"
+#: The same characters; all others are mostly told by a few ranges, as single ones beyond Latin-1 are tried one by one.
+RAISED_FAST = rf"[\^ʰ-ˣᵃ-ᶻⁱⁿ&&{RAISED}]"
 LAYOUTS = (
     # all of a note; its mark and its text within it; what the mark is called
     (r"(?dms)^[a-z][.)]\s+.+?(?=^[a-z][.)]|\z)", r"(?ds)^([a-z])[.)]\s+(.+)$", "{}"),
@@ -66,7 +69,7 @@ SHORTEST, LONGEST = 15, 800
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def _flat(text: Column) -> Column:
@@ -90,7 +93,7 @@ def footnotes(text: Column) -> Column:
     for pattern, inside, name in LAYOUTS:
         matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         if RAISED in pattern:  # slow to look for, and rare
-            matches = F.when(text.rlike(RAISED), matches)
+            matches = F.when(text.rlike(RAISED_FAST), matches)
         found = F.transform(matches, lambda m: F.struct(F.format_string(name.replace("{}", "%s"), F.regexp_extract(m, inside, 1)).alias("marker"), _flat(F.regexp_extract(m, inside, 2)).alias("note")))
         out.append(F.filter(found, lambda x: _fits(x["note"])))
     out[3] = F.filter(out[3], lambda x: ~x["note"].rlike("^(?:Table|Figure|Section)"))
@@ -127,12 +130,14 @@ def distinct(notes: Column) -> Column:
 def condition(note: Column) -> Column:
     """struct<kind, confidence, timing, structured> of a note: the first kind of which a pattern matches, "general" at 0.5
     where none does; a duration (timing kinds only) and an expression where the note states one, else null."""
-    low = F.lower(note)
     rules = [*TIMING, *ELIGIBILITY, *PROCEDURES, *FREQUENCIES]
-    kind = first_rule(low, [(p, k) for p, k, _ in rules], "general", regex=True)
-    confidence = F.when(F.lit(False), F.lit(0.0))
-    for pattern, _, sure in rules:
-        confidence = confidence.when(low.rlike(pattern), F.lit(sure))
+    told = lambda low: F.struct(low.alias("low"), first_rule(low, [(p, f"{sure} {k}") for p, k, sure in rules], "0.5 general", regex=True).alias("rule"))
+    return bound(bound(F.lower(note), told), _condition)
+
+
+def _condition(told: Column) -> Column:
+    """The condition of a note in lower case, of which the first rule that matches is known."""
+    low, confidence, kind = told["low"], F.substring_index(told["rule"], " ", 1).cast("double"), F.substring_index(told["rule"], " ", -1)
     number = F.regexp_extract(low, r"(\d+)\s*(?:min(?:ute)?s?|hours?)", 1)
     timed = F.startswith(kind, F.lit("timing")) | (kind == "sequence")
     timing = F.when(timed & (number != ""), F.concat(F.lit("PT"), number, F.when(F.contains(low, F.lit("hour")), "H").otherwise("M")))
@@ -149,7 +154,7 @@ def condition(note: Column) -> Column:
         F.when((kind == "procedure_replicate") & F.contains(low, F.lit("triplicate")), "procedure.replicates = 3"), F.when((kind == "procedure_replicate") & F.contains(low, F.lit("duplicate")), "procedure.replicates = 2"),
         F.when((kind == "procedure_fasting") & (hours != ""), F.concat(F.lit("subject.fastingHours >= "), hours)), F.when(kind == "procedure_fasting", "subject.isFasting == true"),
     )
-    return F.struct(kind.alias("kind"), confidence.otherwise(F.lit(0.5)).alias("confidence"), timing.alias("timing"), structured.alias("structured"))
+    return F.struct(kind.alias("kind"), confidence.alias("confidence"), timing.alias("timing"), structured.alias("structured"))
 
 
 def footnote_conditions(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -40,6 +42,22 @@ def test_sections_and_noise(spark):
     assert notes.footnote_conditions(rows_of(spark, texts).limit(0), "label", ["k"]).count() == 0
 
 
+def test_long_notes_take_time_in_proportion(spark):
+    """Of a sequence one character on either side is looked for, as .+ takes the square of a note's length."""
+    old = (r"(.+)\s+(?:then|followed\s+by)\s+(.+)", r"(.+)\s+(?:before|prior\s+to)\s+(.+)\s+(?:before|prior\s+to)\s+(.+)")
+    new = [p for p, kind, _ in notes.TIMING if kind == "sequence"]
+    random.seed(7)
+    parts = ["then", "followed", "by", "before", "prior", "to", " ", " ", "  ", "\n", "x"]
+    for text in ["".join(random.choices(parts, k=9)) for _ in range(5000)]:
+        assert [bool(re.search(p, text)) for p in new] == [bool(re.search(p, text)) for p in old], text
+    raised = rows_of(spark, [chr(c) for c in range(32, 0x2200)]).select(F.col("label").rlike(notes.RAISED).alias("a"), F.col("label").rlike(notes.RAISED_FAST).alias("b")).filter("a OR b").collect()
+    assert len(raised) == len(notes.RAISED) - 3 and all(r["a"] and r["b"] for r in raised)
+    rows = rows_of(spark, ["word " * 60000 + end for end in ("", "first then next", "daily")])
+    began = time.perf_counter()
+    got = [tuple(r["c"])[:2] for r in rows.select("k", notes.condition(F.col("label")).alias("c")).orderBy("k").collect()]
+    assert got == [("general", 0.5), ("sequence", 0.85), ("frequency_daily", 0.9)] and time.perf_counter() - began < 60
+
+
 def test_days(spark):
     rows = rows_of(spark, [*day_notes.DAY_PASSAGES, None, "Stool sample " + "x" * 250 + " days 1 to 2, daily diary day 9999999999999999999 to 3"])
     got = sorted((r["k"], r["activity"], r["days"]["start"], r["days"]["end"], r["expected"], r["start_offset"], r["end_offset"], r["source"]) for r in days.daily_bindings(rows, "label", ["k"]).collect())
