@@ -140,7 +140,7 @@ def stable_id(*parts: Column) -> Column:
 def needs_id(id_: Column) -> Column:
     """Whether a simple id is to be replaced: no UUID yet, shorter than 50, and with _ or -."""
     uuid = id_.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
-    return ~uuid & (F.contains(id_, F.lit("_")) | F.contains(id_, F.lit("-"))) & (F.length(id_) < 50)
+    return (F.contains(id_, F.lit("_")) | F.contains(id_, F.lit("-"))) & (F.length(id_) < 50) & ~uuid
 
 
 def repaired_json(response: Column, schema: str) -> Column:

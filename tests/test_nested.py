@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections import deque
 
@@ -82,6 +83,29 @@ def test_ids_at_any_depth(spark):
     assert nested.with_uuids(frame.limit(0), "k", "doc").count() == nested.id_mapping(frame.limit(0), "k", "doc").count() == 0
 
 
+def test_strings_as_spark_takes_them(spark):
+    """What the scan takes for JSON in a string is what Spark takes for it."""
+    inner = ["[1] x", '{"a": 1, "a": 2}', '{"a": {"b": 1, "b": 2}}', "[NaN]", "[-Infinity]", "[01]", "[1,]", "{'a': 1}", '["\t"]', "[1e999]", "[" + "9" * 60 + "]", "[]", "{", '["\\ud800"]', '["é\u2028"]', '[{"id": "a_1"}]']
+    tokens = [json.dumps(x) for x in inner] + ['"\\x"', '"\\u12"', '"a\tb\\n"', '"\\ud83d\\ude00 \\ud800"', '"\\/ \\b\\f\\u001F\\u000b\\u007f"']
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(tokens)], "i int, t string")
+    told = rows.select("i", F.from_json(F.concat(F.lit('{"x":'), "t", F.lit("}")), "x string")["x"].alias("v")).select("i", "v", F.try_parse_json("v").isNotNull().alias("json"), F.to_json(F.struct(F.col("v").alias("x"))).alias("q"))
+    for r in told.orderBy("i").collect():
+        assert nested._unquoted(tokens[r["i"]]) == r["v"], r
+        if r["v"] is not None:
+            assert nested._quoted(r["v"]) == r["q"][5:-1], r
+            assert (nested._inner(tokens[r["i"]]) is not None) == (r["json"] and r["v"][:1] in ("[", "{")), r
+
+
+def test_many_ids_in_one_document(spark):
+    """Distinct ids of a document are found by hashing: time grows with their number, not with its square."""
+    doc = json.dumps([{"id": f"n_{i}", "upId": f"n_{i + 1}"} for i in range(60000)])
+    frame = spark.createDataFrame([(1, doc)], "k long, doc string")
+    began = time.perf_counter()
+    got = nested.reference_report(frame, "k", "doc").collect()
+    assert [(r["n_ids"], r["n_references"], r["unresolved"]) for r in got] == [(60000, 60000, ["n_60000"])]
+    assert time.perf_counter() - began < 30
+
+
 def test_variants_and_scopes(spark):
     frame = spark.sql("""SELECT k, parse_json(t) AS doc FROM VALUES (1, '{"id": "a_1", "bId": "b_1"}'), (1, '{"id": "b_1"}'), (2, '{"cId": "a_1"}'), (NULL, '{"id": "a_1"}'), (3, NULL) AS v(k, t)""")
     got = nested.with_uuids(frame, "k", "doc")
