@@ -144,3 +144,11 @@ def test_states_at_any_distance(spark):
     assert issues[1, 100] == issues[1, 101] == "dead end" and issues[1, 200] == "unreachable" and issues[3, 5] == issues[9, 9] == "no terminal states" and issues[8, 8] == "unreachable"
     assert [k for k, v in issues.items() if v is None and k[0] == 1] and issues[1, 24] is None and got[1, 24][:2] == (24, 21)
     assert reach.reached(frame.limit(0), initial).count() == 3 and reach.reached(frame, initial.limit(0)).count() == 0
+
+
+def test_only_keys_of_lines_are_exchanged(spark):
+    from studygraph.plans.nested import order_documents
+
+    plan = order_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    gathered = [x for x in plan.splitlines() if "partial_collect_list" in x]
+    assert gathered and not any("part-" in x for x in gathered)
