@@ -152,3 +152,11 @@ def test_only_keys_of_lines_are_exchanged(spark):
     plan = order_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     gathered = [x for x in plan.splitlines() if "partial_collect_list" in x]
     assert gathered and not any("part-" in x for x in gathered)
+
+
+def test_documents_are_made_without_json(spark):
+    """Documents become VARIANT from their fields: only the notes, which are text, are JSON on the way."""
+    from studygraph.plans.nested import order_documents
+
+    plan = order_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_variant_object" in plan and "parseJson" not in plan
