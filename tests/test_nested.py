@@ -160,3 +160,11 @@ def test_documents_are_made_without_json(spark):
 
     plan = order_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "to_variant_object" in plan and "parseJson" not in plan
+
+
+def test_documents_are_read_without_json(spark):
+    """Documents are read back from VARIANT: only with_uuids() makes JSON of them."""
+    from studygraph import plans
+
+    plan = plans.queries()["nested_ids"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and "to_variant_object" in plan and "variant_get" in plan
